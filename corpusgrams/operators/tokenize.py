@@ -204,16 +204,23 @@ def ngram_order(ngram: Column) -> Column:
     return (F.regexp_count(ngram, F.lit(" ")) + 1).cast("int")
 
 
-# Penn-Treebank style splitting of contractions and punctuation (T8):
-# applied before re-tokenising, so "don't" -> "do n't", "can't" -> "ca n't".
-PTB_RULES = [
-    (r"(?i)\b(can)(not)\b", "$1 $2"),
-    (r"(?i)\b(d)('ye)\b", "$1 $2"),
-    (r"(?i)\b(gim)(me)\b", "$1 $2"),
-    (r"(?i)\b(gon)(na)\b", "$1 $2"),
-    (r"(?i)\b(got)(ta)\b", "$1 $2"),
-    (r"(?i)\b(lem)(me)\b", "$1 $2"),
-    (r"(?i)\b(wan)(na)\b", "$1 $2"),
-    (r"(?i)([a-z])(n't)\b", "$1 $2"),
-    (r"(?i)([a-z])('ll|'re|'ve|'s|'m|'d)\b", "$1 $2"),
-]
+# Penn-Treebank contraction split (T8), token by token: "don't" -> "do n't",
+# "can't" -> "ca n't", "it's" -> "it 's", "cannot" -> "can not".
+PTB_CONTRACTION = r"^(.+?)(n't|'ll|'re|'ve|'s|'m|'d)$"
+PTB_CANNOT = r"^(can)(not)$"
+
+
+def ptb_split(tokens: Column) -> Column:
+    """Split contractions inside a token array (flat result)."""
+    t = F.transform(
+        tokens,
+        lambda w: F.regexp_replace(F.regexp_replace(w, PTB_CONTRACTION, "$1 $2"), PTB_CANNOT, "$1 $2"),
+    )
+    return F.split(F.array_join(t, " "), " ")
+
+
+def tweet_text(sentence: Column) -> Column:
+    """T3 tweet branch: strip URLs, keep case, keep #tags/@users, drop other
+    punctuation; tokens re-joined with blanks."""
+    no_url = F.regexp_replace(sentence, T.URL_PATTERN, "")
+    return F.array_join(F.regexp_extract_all(no_url, F.lit(T.TWEET_TOKEN_PATTERN), 0), " ")
