@@ -124,3 +124,11 @@ for _k in range(1, 6):
 )
 def pruned_corpus(spark, sf):
     return ranking.prune_continuations(model(spark, sf), PRUNE_K)
+
+
+# --- X1 / S5 incremental counts (Structured Streaming, batch-keyed partials) --
+@query("append_counts", f"WITH {S.model_ctes()} SELECT * FROM counts")
+def append_counts(spark, sf):
+    from ..streaming.incremental import run_incremental_counts
+
+    return run_incremental_counts(spark, sf, "documents.parquet")
