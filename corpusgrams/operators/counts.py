@@ -44,23 +44,28 @@ def tf_idf(freq: DataFrame, term: str, document: str, n: str) -> DataFrame:
     """A11 ``bind_tf_idf``: ``tf = n / sum(n)`` per document,
     ``idf = ln(#documents / #documents with the term)``, ``tf_idf = tf*idf``.
 
-    The document total and the per-term document count are aggregates joined
-    back; the number of documents is a one-row aggregate (broadcast).
+    The document totals and the per-term document counts are aggregates of
+    ``freq`` joined back; the number of documents is counted from the
+    (one-row-per-document) totals and cross-joined as a one-row broadcast.
+    Rows with a NULL term or document are dropped up front, so every branch
+    reads the same ``freq`` plan and Spark reuses its exchange instead of
+    recomputing it per branch.
     """
+    freq = freq.filter(F.col(term).isNotNull() & F.col(document).isNotNull())
     doc_tot = freq.groupBy(document).agg(F.sum(n).alias("_doc_total"))
-    term_docs = freq.groupBy(term).agg(F.count(F.lit(1)).alias("_term_docs"))
-    n_docs = freq.agg(F.countDistinct(document).alias("_n_docs"))
+    # Both counts reference the aggregated column on purpose:
+    # with count(*) the optimizer rewrites both into distinct-aggregates over
+    # the raw rows, which re-tokenises the corpus instead of reusing ``freq``.
+    term_docs = freq.groupBy(term).agg(F.count(F.when(F.col(n) > 0, F.lit(1))).alias("_term_docs"))
+    n_docs = doc_tot.agg(F.count("_doc_total").alias("_n_docs"))
     out = (
         freq.join(doc_tot, document)
         .join(term_docs, term)
         .crossJoin(F.broadcast(n_docs))
     )
-    return out.select(
-        *freq.columns,
-        (F.col(n) / F.col("_doc_total")).alias("tf"),
-        F.ln(F.col("_n_docs") / F.col("_term_docs")).alias("idf"),
-        ((F.col(n) / F.col("_doc_total")) * F.ln(F.col("_n_docs") / F.col("_term_docs"))).alias("tf_idf"),
-    )
+    tf = F.col(n) / F.col("_doc_total")
+    idf = F.ln(F.col("_n_docs") / F.col("_term_docs"))
+    return out.select(*freq.columns, tf.alias("tf"), idf.alias("idf"), (tf * idf).alias("tf_idf"))
 
 
 def positional_counts(ngrams: DataFrame, colname: str, order: int) -> DataFrame:

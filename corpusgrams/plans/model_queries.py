@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import model as M
 from ..operators import tokenize as tk
+from ..session import cut_lineage
 from ..sources import corpus as src
 from . import sqltext as S
 from .registry import query
@@ -27,8 +28,13 @@ def R10(e: str) -> str:
     return f"round({e}, 10) + 0.0"
 
 
-def counts(spark, sf):
-    return tk.ngram_counts(src.corpus_lines(spark, sf))
+def counts(spark, sf, shared=True, max_order=5):
+    """The model table.  ``shared=True`` materialises it once to the reliable
+    checkpoint folder for queries that read it from several branches (each
+    branch filters different orders, which Spark pushes below the aggregate,
+    so without it the corpus would be tokenised once per branch)."""
+    c = tk.ngram_counts(src.corpus_lines(spark, sf), 1, max_order)
+    return cut_lineage(c) if shared else c
 
 
 def phrases(spark, sf):
@@ -87,12 +93,12 @@ def W(*ctes: str) -> str:
     "row_number() OVER (ORDER BY \"order\", begins, CASE WHEN \"order\" = 1 THEN NULL ELSE ends END NULLS FIRST) AS ngram_id FROM counts",
 )
 def load_corpus(spark, sf):
-    return M.load_corpus(counts(spark, sf))
+    return M.load_corpus(counts(spark, sf, shared=False))
 
 
 @query("corpus_size", W(MODEL) + "SELECT \"order\", count(*) AS n_rows FROM counts GROUP BY ALL")
 def corpus_size(spark, sf):
-    return M.corpus_size(counts(spark, sf))
+    return M.corpus_size(counts(spark, sf, shared=False))
 
 
 @query(
@@ -101,7 +107,7 @@ def corpus_size(spark, sf):
     f"(PARTITION BY \"order\" ORDER BY begins, ends) AS rn FROM counts) WHERE rn <= {CAP_LINES}",
 )
 def load_corpus_capped(spark, sf):
-    return M.cap_per_order(counts(spark, sf), CAP_LINES)
+    return M.cap_per_order(counts(spark, sf, shared=False), CAP_LINES)
 
 
 def _register_endcounted(k: int, name: str):
@@ -112,7 +118,7 @@ def _register_endcounted(k: int, name: str):
         f"AND u.ends = c.ends WHERE c.\"order\" = {k}",
     )
     def _q(spark, sf):
-        e = M.end_counted(counts(spark, sf), k)
+        e = M.end_counted(counts(spark, sf, max_order=k), k)
         return e.withColumn("MLE", r10(F.col("MLE")))
 
 
@@ -238,7 +244,7 @@ def perplexity_q(spark, sf):
     + f"SELECT conv_id, turn, begins, ends, ngram_count FROM r WHERE rk <= {MAXOPTS}",
 )
 def next_options_q(spark, sf):
-    return M.next_options(user_grams(spark, sf), counts(spark, sf), list(KEYP), MAXOPTS)
+    return M.next_options(user_grams(spark, sf), counts(spark, sf, shared=False), list(KEYP), MAXOPTS)
 
 
 @query(
@@ -248,7 +254,7 @@ def next_options_q(spark, sf):
     "JOIN counts c ON c.\"order\" = g.\"order\" + 1 AND c.begins = g.begins || ' ' || g.ends",
 )
 def next_matches_q(spark, sf):
-    return M.next_matches(user_grams(spark, sf), counts(spark, sf), [*KEYP, "sentence_id"])
+    return M.next_matches(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"])
 
 
 @query(
@@ -261,7 +267,7 @@ def next_matches_q(spark, sf):
     + "SELECT m.* FROM m JOIN b ON m.conv_id = b.conv_id AND m.turn = b.turn AND m.sentence_id = b.sentence_id AND m.\"order\" = b.mo",
 )
 def next_word_backoff_q(spark, sf):
-    return M.next_word_backoff(user_grams(spark, sf), counts(spark, sf), [*KEYP, "sentence_id"], BACKOFF_K)
+    return M.next_word_backoff(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"], BACKOFF_K)
 
 
 @query(
@@ -284,7 +290,7 @@ FULL_MATCH_SQL = (
 
 @query("full_matches", W(MODEL, BENCH_CTE, FULL_MATCH_SQL) + "SELECT * FROM fm")
 def full_matches_q(spark, sf):
-    return M.full_matches(counts(spark, sf), eval_grams(spark, sf))
+    return M.full_matches(counts(spark, sf, shared=False), eval_grams(spark, sf))
 
 
 @query(
@@ -356,7 +362,7 @@ VOCAB_SQL = "vocab AS (SELECT ends AS ngram, row_number() OVER (ORDER BY ends) A
 
 @query("vocabulary", W(MODEL, VOCAB_SQL) + "SELECT ngram, wid FROM vocab")
 def vocabulary_q(spark, sf):
-    return M.vocabulary(counts(spark, sf))
+    return M.vocabulary(counts(spark, sf, shared=False))
 
 
 @query(
@@ -367,7 +373,7 @@ def vocabulary_q(spark, sf):
 def ngram_ids(spark, sf):
     from ..operators import ordinals as O
 
-    c = counts(spark, sf).filter(F.col("order") <= 3)
+    c = counts(spark, sf, shared=False).filter(F.col("order") <= 3)
     return O.global_row_number(c, ["order", "begins", "ends"], "ngram_id")
 
 

@@ -11,6 +11,7 @@ from ..operators import ordinals as O
 from ..operators import smoothing as K
 from ..operators import splits as P
 from ..operators import tokenize as tk
+from ..session import cut_lineage
 from ..sources import corpus as src
 from . import sqltext as S
 from .registry import query
@@ -38,8 +39,11 @@ def lines(spark, sf):
     return src.corpus_lines(spark, sf)
 
 
-def counts(spark, sf):
-    return tk.ngram_counts(lines(spark, sf))
+def counts(spark, sf, shared=True):
+    """The model table, materialised once (reliable checkpoint) when the
+    query reads it from several branches."""
+    c = tk.ngram_counts(lines(spark, sf))
+    return cut_lineage(c) if shared else c
 
 
 MODEL = S.model_ctes()
@@ -69,7 +73,7 @@ NRP1 = (
 
 @query("good_turing_lead", W(MODEL, CC, LEAD) + f"SELECT \"order\", r, n_r, n_r_plus_one, {R10('r_star')} AS r_star FROM gtl")
 def good_turing_lead(spark, sf):
-    return K.good_turing_lead(counts(spark, sf)).withColumn("r_star", r10(F.col("r_star")))
+    return K.good_turing_lead(counts(spark, sf, shared=False)).withColumn("r_star", r10(F.col("r_star")))
 
 
 @query("nr_plus_one", W(MODEL, CC, NRT, NRP1) + "SELECT * FROM np")
@@ -125,7 +129,7 @@ KATZ_SQL = (
     + R10(DIV("C_katz", "sum(C_katz) OVER (PARTITION BY \"order\")")) + " AS P_katz FROM kc",
 )
 def katz_dr(spark, sf):
-    k = K.katz_dr(K.good_turing_lead(counts(spark, sf)), KATZ_K)
+    k = K.katz_dr(K.good_turing_lead(counts(spark, sf, shared=False)), KATZ_K)
     return k.select("order", "r", "n_r", "n_r_plus_one", *[r10(F.col(x)).alias(x) for x in ("r_star", "d_r", "C_katz", "P_katz")])
 
 
@@ -395,7 +399,7 @@ def get_model(spark, sf):
     "count(*) AS n FROM counts GROUP BY ALL",
 )
 def ngram_order(spark, sf):
-    c = counts(spark, sf)
+    c = counts(spark, sf, shared=False)
     o = tk.ngram_order(tk.ngram_string(F.col("begins"), F.col("ends"), F.col("order")))
     return A.count_by(c.withColumn("ngram_order", o), ["order", "ngram_order"], "n")
 
