@@ -44,12 +44,15 @@ def cap_per_order(counts: DataFrame, n: int) -> DataFrame:
     return W.top_k(counts, ["order"], [F.col("begins"), F.col("ends")], n)
 
 
-def end_counted(counts: DataFrame, order: int) -> DataFrame:
-    """N-grams of ``order`` joined with the unigram count of their last
-    word: ``end_count`` and ``MLE = ngram_count / end_count``."""
-    uni = counts.filter(F.col("order") == 1).select("ends", F.col("ngram_count").alias("end_count"))
-    g = counts.filter(F.col("order") == order)
-    return g.join(uni, "ends").withColumn("MLE", F.col("ngram_count") / F.col("end_count"))
+def end_counted(grams: DataFrame, unigrams: DataFrame) -> DataFrame:
+    """N-gram counts of one order joined with the unigram count of their
+    last word: ``end_count`` and ``MLE = ngram_count / end_count``.
+
+    Both inputs are count tables (the unigram one of order 1); the join is on
+    ``ends`` and is skew-safe (hot last words such as ``__eos__`` are split
+    by adaptive skew handling; the unigram side has one row per word)."""
+    uni = unigrams.filter(F.col("order") == 1).select("ends", F.col("ngram_count").alias("end_count"))
+    return grams.join(uni, "ends").withColumn("MLE", F.col("ngram_count") / F.col("end_count"))
 
 
 def prefix_totals(counts: DataFrame) -> DataFrame:
@@ -102,8 +105,12 @@ def next_options(grams: DataFrame, counts: DataFrame, key: list[str], maxopts: i
     ``begins`` — exact, since a row in a phrase's top-k is in its own
     prefix's top-k — so a frequent prefix adds at most ~k rows per phrase.
     """
-    pruned = W.top_k(counts, ["begins"], [F.col("ngram_count").desc()], maxopts, ties=True)
     ctx = grams.select(*key, "begins").distinct()
+    # only prefixes some phrase asks for can join: cut the corpus to them
+    # before ranking (the phrase side is small; AQE broadcasts it once
+    # measured, otherwise this is a shuffle join).
+    wanted = counts.join(ctx.select("begins").distinct(), "begins", "left_semi")
+    pruned = W.top_k(wanted, ["begins"], [F.col("ngram_count").desc()], maxopts, ties=True)
     j = ctx.join(pruned.select("begins", "ends", "ngram_count"), "begins")
     return W.top_k(j, key, [F.col("ngram_count").desc()], maxopts, ties=True)
 
@@ -127,7 +134,11 @@ def next_matches(grams: DataFrame, counts: DataFrame, key: list[str], literal: b
 def next_word_backoff(grams: DataFrame, counts: DataFrame, key: list[str], k: int = 5) -> DataFrame:
     """Back-off prediction: the top ``k`` continuations (count desc, then
     word) of the longest context of each sentence that the corpus knows."""
-    pruned = W.top_k(counts, ["order", "begins"], [F.col("ngram_count").desc(), F.col("ends")], k)
+    ctx = grams.select(
+        (F.col("order") + 1).alias("order"), ngram_string(F.col("begins"), F.col("ends"), F.col("order")).alias("begins")
+    ).distinct()
+    wanted = counts.join(ctx, ["order", "begins"], "left_semi")
+    pruned = W.top_k(wanted, ["order", "begins"], [F.col("ngram_count").desc(), F.col("ends")], k)
     m = next_matches(grams, pruned, key, literal=False)
     best = m.groupBy(*key).agg(F.max("order").alias("order"))
     return m.join(best, [*key, "order"]).select(*key, "order", "begins", "ends", "ngram_count")

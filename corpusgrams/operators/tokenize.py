@@ -94,11 +94,16 @@ def count_ngrams(ngrams: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return ngrams.groupBy(*by, *NGRAM_KEY).agg(F.count(F.lit(1)).alias("ngram_count"))
 
 
-def ngram_counts(lines: DataFrame, min_order: int = 1, max_order: int = 5) -> DataFrame:
+def ngram_counts(lines: DataFrame, min_order: int = 1, max_order: int = 5,
+                 only: list[int] | None = None) -> DataFrame:
     """T7 + A1: the n-gram model table ``(order, begins, ends, ngram_count)``
-    for all orders in one scan, one explode and one aggregation."""
+    for all orders in one scan, one explode and one aggregation.  ``only``
+    keeps a subset of the orders (dropped before the shuffle)."""
     toks = corpus_tokens(lines, keep=())
-    return count_ngrams(explode_ngrams(toks, "tokens", min_order, max_order))
+    g = explode_ngrams(toks, "tokens", min_order, max_order)
+    if only is not None:
+        g = g.filter(F.col("order").isin(only))
+    return count_ngrams(g)
 
 
 def line_words(lines: DataFrame, keep: tuple[str, ...] = ("doc_id", "line_no", "file")) -> DataFrame:

@@ -118,7 +118,9 @@ def _register_endcounted(k: int, name: str):
         f"AND u.ends = c.ends WHERE c.\"order\" = {k}",
     )
     def _q(spark, sf):
-        e = M.end_counted(counts(spark, sf, max_order=k), k)
+        # orders 1 and k in one pass, written once, read by both join sides
+        c = cut_lineage(tk.ngram_counts(src.corpus_lines(spark, sf), 1, k, only=[1, k]))
+        e = M.end_counted(c.filter(F.col("order") == k), c)
         return e.withColumn("MLE", r10(F.col("MLE")))
 
 
