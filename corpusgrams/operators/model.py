@@ -311,15 +311,16 @@ def coverage(counts: DataFrame, fractions: tuple[float, ...] = (0.5, 0.9)) -> Da
     """The smallest number of most frequent words whose counts cover
     each fraction of all word instances.
 
-    Running sums come from ``global_row_number`` (count desc, word) plus a
-    per-partition prefix sum, not from a one-task window."""
+    Ranks come from ``global_row_number`` (count desc, word); running sums
+    are bucketed prefix sums over ranks (windows bounded to 100,000 rows plus
+    one small table of bucket offsets), not a one-task window."""
     uni = counts.filter(F.col("order") == 1).select(F.col("ends").alias("word"), F.col("ngram_count").alias("n"))
     ranked = O.global_row_number(uni.withColumn("_neg", -F.col("n")), ["_neg", "word"], "rank")
     # cumulative sum by rank: bucketed prefix sums (bounded windows)
     b = ranked.withColumn("_bk", F.floor((F.col("rank") - 1) / 100000))
     bsum = b.groupBy("_bk").agg(F.sum("n").alias("_bs"))
     boff = bsum.select("_bk", F.coalesce(F.sum("_bs").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_boff"))
-    cum = b.join(F.broadcast(boff), "_bk").withColumn(
+    cum = b.join(boff, "_bk").withColumn(
         "cum", F.col("_boff") + F.sum("n").over(Window.partitionBy("_bk").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     )
     total = uni.agg(F.sum("n").alias("_tot"))
