@@ -138,7 +138,7 @@ def next_word_backoff(grams: DataFrame, counts: DataFrame, key: list[str], k: in
         (F.col("order") + 1).alias("order"), ngram_string(F.col("begins"), F.col("ends"), F.col("order")).alias("begins")
     ).distinct()
     wanted = counts.join(ctx, ["order", "begins"], "left_semi")
-    pruned = W.top_k(wanted, ["order", "begins"], [F.col("ngram_count").desc(), F.col("ends")], k)
+    pruned = W.top_k(wanted, ["begins", "order"], [F.col("ngram_count").desc(), F.col("ends")], k)
     m = next_matches(grams, pruned, key, literal=False)
     best = m.groupBy(*key).agg(F.max("order").alias("order"))
     return m.join(best, [*key, "order"]).select(*key, "order", "begins", "ends", "ngram_count")
