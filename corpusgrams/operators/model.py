@@ -324,6 +324,14 @@ def coverage(counts: DataFrame, fractions: tuple[float, ...] = (0.5, 0.9)) -> Da
         "cum", F.col("_boff") + F.sum("n").over(Window.partitionBy("_bk").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
     )
     total = uni.agg(F.sum("n").alias("_tot"))
-    fr = cum.sparkSession.createDataFrame([(float(f),) for f in fractions], "fraction double")
-    j = cum.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(fr)).filter(F.col("cum") >= F.col("fraction") * F.col("_tot"))
-    return j.groupBy("fraction").agg(F.min("rank").alias("n_words"))
+    c = cum.crossJoin(F.broadcast(total))  # one-row scalar
+    # one conditional minimum per fraction, in a single aggregation
+    mins = c.agg(*[
+        F.min(F.when(F.col("cum") >= F.lit(float(f)) * F.col("_tot"), F.col("rank"))).alias(f"f{i}")
+        for i, f in enumerate(fractions)
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(float(f)).alias("fraction"), F.col(f"f{i}").alias("n_words"))
+        for i, f in enumerate(fractions)
+    ])
+    return mins.select(F.inline(rows))

@@ -44,11 +44,15 @@ def lines(spark, sf):
 # ---------------------------------------------------------------------------
 # Shared token tables and their SQL twins
 # ---------------------------------------------------------------------------
+def lines_from(spark, sf):
+    """Lines with ``from`` (computed once per line, before any explode)."""
+    return lines(spark, sf).withColumn("from", T.source_name(F.col("file")))
+
+
 def tok_corpora(spark, sf):
     """Words of every line without stop words, with ``from``."""
-    w = tk.line_words(lines(spark, sf))
-    w = C.remove_stop_words(w)
-    return w.withColumn("from", T.source_name(F.col("file")))
+    w = tk.line_words(lines_from(spark, sf), keep=("doc_id", "line_no", "file", "from"))
+    return C.remove_stop_words(w)
 
 
 TOK_CTE = (
@@ -60,9 +64,8 @@ TOK_CTE = (
 
 
 def line_grams_nostop(spark, sf, n):
-    g = tk.line_ngrams(lines(spark, sf), n)
-    g = C.drop_stop_word_ngrams(g, "ngram")
-    return g.withColumn("from", T.source_name(F.col("file")))
+    g = tk.line_ngrams(lines_from(spark, sf), n, keep=("doc_id", "line_no", "file", "from"))
+    return C.drop_stop_word_ngrams(g, "ngram")
 
 
 def grams_nostop_cte(n: int, name: str) -> str:
