@@ -86,10 +86,6 @@ URL_PATTERN = r"(?:https?|ftp)://[^\t\n\x0B\f\r ]+|www\.[^\t\n\x0B\f\r ]+"
 TWEET_TOKEN_PATTERN = r"[#@]?" + WORD_PATTERN
 
 
-def lit_pattern(p: str) -> Column:
-    return F.lit(p)
-
-
 # ---------------------------------------------------------------------------
 # Cleaning expressions
 # ---------------------------------------------------------------------------

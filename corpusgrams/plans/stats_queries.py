@@ -270,9 +270,6 @@ def ngram_set(spark, sf):
     return c.withColumn("prefix", tk.split_last_word(F.col("ngram"))[0])
 
 
-CLEAN_DUCK = None  # set below from explore_queries (same DuckDB spelling of C1)
-
-
 def _clean_duck():
     from .explore_queries import CLEAN_TEXT_DUCK
 
