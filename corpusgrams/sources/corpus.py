@@ -29,8 +29,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     the scan already has many splits and no shuffle is added.
     """
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
+        return df
+    if planned >= slots:
         return df
     return df.repartition(slots, *keys)
 

@@ -17,9 +17,13 @@ NOTES = "_notes"
 
 def write_model(counts: DataFrame, path: str) -> None:
     """One parquet folder per order, rows sorted by (begins, ends) inside
-    each file so that lookups by prefix skip row groups by min/max."""
+    each file so that lookups by prefix skip row groups by min/max.
+
+    Range partitioning on the full (unique) key spreads every order over many
+    writer tasks — a hot prefix such as ``__bos__`` is split too — and gives
+    each file a narrow ``begins`` range."""
     (
-        counts.repartition("order")
+        counts.repartitionByRange("order", "begins", "ends")
         .sortWithinPartitions("order", "begins", "ends")
         .write.mode("overwrite")
         .partitionBy("order")
@@ -50,7 +54,7 @@ def commit_dataset(df: DataFrame, base: str, name: str, note: str = "", version:
     return v
 
 
-def commit_splits(split: DataFrame, base: str, tag: str, note: str = "", prefix: str = "capstone_split_") -> str:
+def commit_splits(split: DataFrame, base: str, tag: str, note: str = "", prefix: str = "clean_split_") -> str:
     """S7 ``commit_clean_splits``: ``<prefix><tag>_training`` and ``_testing``."""
     v = _version()
     for wh in ("training", "testing"):
@@ -70,7 +74,7 @@ def read_dataset(spark: SparkSession, base: str, name: str, version: str | None
     return spark.read.parquet(f"{base}/{name}/version={version}")
 
 
-def get_split(spark: SparkSession, base: str, tag: str, wh: str = "training", prefix: str = "capstone_split_") -> DataFrame:
+def get_split(spark: SparkSession, base: str, tag: str, wh: str = "training", prefix: str = "clean_split_") -> DataFrame:
     """S7 ``get_clean_splits``; ``wh`` must be ``training`` or ``testing``."""
     if wh not in ("training", "testing"):
         raise ValueError("wh must be 'training' or 'testing'")
