@@ -7,6 +7,7 @@ cluster's own settings (shuffle partitions, checkpoint folder) win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Checkpoint files go when their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,9 +53,12 @@ def build_session(master: str | None = None, app: str = "corpusgrams",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when
-    none is configured (tests / local runs).  On a cluster the shared folder
-    named by ``spark.checkpoint.dir`` is used as is."""
+    """Return the session's checkpoint folder.
+
+    The shared folder named by ``spark.checkpoint.dir`` is used as is.  Only a
+    ``local[...]`` master (one machine) gets a temporary folder when none is
+    configured; on a cluster a missing setting is an error, because executors
+    cannot read each other's local files."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote session: the server's own setting applies
@@ -64,6 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="corpusgrams-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

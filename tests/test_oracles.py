@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from corpusgrams import plans
 from corpusgrams.sources.corpus import TABLES
 from tools.check_oracles import rows_of
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# the optional subpackage's queries have their own tests
+QUERIES = plans.all_queries()
+ORACLES = plans.all_oracles()
 
 
 @pytest.fixture(scope="module")
