@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .nbsvm import op2_quality
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
 }
 
 ORACLES = {
