@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .byte_gru import op8_language
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .nbsvm import op2_quality
 from .packing import op10_packing
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language": op8_language,
     "op10_packing": op10_packing,
 }
 
