@@ -7,12 +7,14 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .nbsvm import op2_quality
 from .packing import op10_packing
 from .piece_codec import op4_sentencepiece
+from .pii import op6_pii
 from .rules_forest import op7_quality_rules
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_pii": op6_pii,
     "op7_quality_rules": op7_quality_rules,
     "op8_language": op8_language,
     "op10_packing": op10_packing,
