@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_gru import op8_language
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .licenses import op5_licenses
 from .nbsvm import op2_quality
 from .packing import op10_packing
 from .piece_codec import op4_sentencepiece
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
     "op7_quality_rules": op7_quality_rules,
     "op8_language": op8_language,
