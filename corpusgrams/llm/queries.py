@@ -9,11 +9,13 @@ from .nbsvm import op2_quality
 from .packing import op10_packing
 from .piece_codec import op4_sentencepiece
 from .pii import op6_pii
+from .reply_trees import OP3_SQL, op3_chat
 from .rules_forest import op7_quality_rules
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
+    "op3_chat": op3_chat,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_licenses": op5_licenses,
     "op6_pii": op6_pii,
@@ -24,4 +26,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op3_chat": OP3_SQL,
 }
