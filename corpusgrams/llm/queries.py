@@ -9,6 +9,7 @@ from .nbsvm import op2_quality
 from .packing import op10_packing
 from .piece_codec import op4_sentencepiece
 from .pii import op6_pii
+from .probminhash import op9_near_dedup
 from .reply_trees import OP3_SQL, op3_chat
 from .rules_forest import op7_quality_rules
 
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_quality_rules": op7_quality_rules,
     "op8_language": op8_language,
+    "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
 }
 
