@@ -39,6 +39,16 @@ TOKEN_REJECT_PATTERN = (
     r"^[0-9]+$|^it’s$|^don’t$|^i’m$|^rt$|^lol$|^_+$|^[0-9\._]{2,}$"
 )
 TOKEN_KEEP_PATTERN = r"[a-z']+"
+# Words left out of the first notebook's ten most frequent (fixed value).
+TOP_WORD_REJECT_PATTERN = r"^[0-9]+$|^it’s$|^don’t$|^i’m$|^rt$|^lol$"
+# Further n-gram filters of the notebooks (fixed values).
+TOP_TRIGRAM_STOP_PATTERN = r"^NA NA NA$|^amazon[\. ]"
+WORD_DIGIT_PATTERN = "[0-9 ]"
+BIGRAM_STOP_PATTERN = "NA NA|([0-9]+) ([0-9]+)|rt rt|lol rt"
+TRIGRAM_STOP_PATTERN = (
+    r"^amazon[\. ].*$|omg omg omg|cake cake cake|rt rt rt|ass ass ass|follow follow follow|"
+    r"^NA NA NA$|^amazon[\. ]|([0-9]+) ([0-9]+) ([0-9]+)"
+)
 
 # Spark's public default English stop-word list
 # (``StopWordsRemover.loadDefaultStopWords("english")``), inlined so that the

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     """``count(keys)`` -> one row per key with ``name`` (bigint)."""
@@ -77,7 +79,8 @@ def positional_counts(ngrams: DataFrame, colname: str, order: int) -> DataFrame:
     parts = F.split(F.col(colname), " ")
     out = ngrams.select(*ngrams.columns, *[F.element_at(parts, i + 1).alias(nm) for i, nm in enumerate(names)])
     for nm in names:
-        c = out.groupBy(nm).agg(F.count(F.lit(1)).alias(f"{nm}_count"))
+        # written out, so that a hot word is split between two plain shuffles
+        c = cut_lineage(out.groupBy(nm).agg(F.count(F.lit(1)).alias(f"{nm}_count")))
         out = out.join(c, nm, "left")
     return out
 
@@ -86,3 +89,27 @@ def log_space_product(values: Column) -> tuple[Column, Column]:
     """(sum of logs, product via exp of that sum) of an aggregated column."""
     lp = F.sum(F.ln(values))
     return lp, F.exp(lp)
+
+
+def source_against_others(tokens: DataFrame, source: str, term: str, base: str) -> DataFrame:
+    """(term, base, origin, proportion): the proportion of each term in every
+    source but ``base``, beside its proportion in ``base`` (NULL if not there)."""
+    c = count_by(tokens, [source, term], "n")
+    p = attach_totals(c, [source], "n", "_total").select(
+        F.col(source).alias("origin"), term, (F.col("n") / F.col("_total")).alias("proportion"))
+    b = p.filter(F.col("origin") == base).select(term, F.col("proportion").alias("base"))
+    return p.filter(F.col("origin") != base).join(b, term, "left").select(term, "base", "origin", "proportion")
+
+
+def frequency_histogram(counts: DataFrame, source: str, n: str, bins: int = 30, top: float | None = None) -> DataFrame:
+    """A10: how many terms of each source have a frequency ``n / total`` in each
+    of ``bins`` equal bins from 0 to ``top`` (default: the largest frequency;
+    with ``top``, terms above it are left out as beyond the axis)."""
+    f = attach_totals(counts, [source], n, "_total").withColumn("freq", F.col(n) / F.col("_total"))
+    if top is None:
+        f = f.crossJoin(F.broadcast(f.agg(F.max("freq").alias("_top"))))  # one row
+    else:
+        f = f.filter(F.col("freq") <= top).withColumn("_top", F.lit(float(top)))
+    place = F.floor(F.col("freq") * bins / F.col("_top"))
+    return f.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("bigint")).groupBy(source, "bin").agg(
+        F.count(F.lit(1)).alias("n_words"))

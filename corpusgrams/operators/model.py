@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut_lineage
 from . import ordinals as O
 from . import ranking as W
 from .tokenize import ngram_string
@@ -67,7 +68,8 @@ def prefix_totals(counts: DataFrame) -> DataFrame:
 def mle_next_word(counts: DataFrame) -> DataFrame:
     """M9: ``P(ends | begins) = count / sum(count of the prefix)``; order 1
     uses the order's total (aggregate + join, no per-prefix window)."""
-    hi = counts.filter(F.col("order") > 1).join(prefix_totals(counts), ["order", "begins"])
+    # written out: adaptive execution splits a hot prefix only between plain shuffles
+    hi = counts.filter(F.col("order") > 1).join(cut_lineage(prefix_totals(counts)), ["order", "begins"])
     one = counts.filter(F.col("order") == 1)
     one_tot = one.agg(F.sum("ngram_count").alias("prefix_total"))
     one = one.crossJoin(F.broadcast(one_tot))
@@ -98,21 +100,20 @@ def perplexity(odds: DataFrame, key: list[str]) -> DataFrame:
 
 
 def next_options(grams: DataFrame, counts: DataFrame, key: list[str], maxopts: int = 40) -> DataFrame:
-    """M2 ``next_options``: continuations of the grams' ``begins`` (any
-    order), the ``maxopts`` most frequent per phrase, ties kept.
+    """M2 ``next_options``: continuations of the grams' ``begins`` in the table
+    of the same order (2 and up; an order-1 row continues nothing), the
+    ``maxopts`` most frequent per phrase and order, ties kept.
 
     The corpus is first cut to the top ``maxopts`` (with ties) of every
-    ``begins`` — exact, since a row in a phrase's top-k is in its own
-    prefix's top-k — so a frequent prefix adds at most ~k rows per phrase.
+    (order, begins) that a phrase asks for - exact, since a row in a phrase's
+    top-k is in its own prefix's top-k.
     """
-    ctx = grams.select(*key, "begins").distinct()
-    # only prefixes some phrase asks for can join: cut the corpus to them
-    # before ranking (the phrase side is small; AQE broadcasts it once
-    # measured, otherwise this is a shuffle join).
-    wanted = counts.join(ctx.select("begins").distinct(), "begins", "left_semi")
-    pruned = W.top_k(wanted, ["begins"], [F.col("ngram_count").desc()], maxopts, ties=True)
-    j = ctx.join(pruned.select("begins", "ends", "ngram_count"), "begins")
-    return W.top_k(j, key, [F.col("ngram_count").desc()], maxopts, ties=True)
+    ctx = grams.filter(F.col("order") >= 2).select(*key, "order", "begins").distinct()
+    wanted = counts.join(ctx.select("order", "begins").distinct(), ["order", "begins"], "left_semi")
+    pruned = W.top_k(wanted, ["begins", "order"], [F.col("ngram_count").desc()], maxopts, ties=True)
+    j = ctx.join(pruned.select("order", "begins", "ends", "ngram_count"), ["order", "begins"])
+    return W.top_k(j, [*key, "order"], [F.col("ngram_count").desc()], maxopts, ties=True).select(
+        *key, "order", "begins", "ends", "ngram_count")
 
 
 def next_matches(grams: DataFrame, counts: DataFrame, key: list[str], literal: bool = True) -> DataFrame:
@@ -131,31 +132,44 @@ def next_matches(grams: DataFrame, counts: DataFrame, key: list[str], literal: b
     return g.join(counts, ["order", "begins"]).select(*key, "order", "begins", "ends", "ngram_count")
 
 
-def next_word_backoff(grams: DataFrame, counts: DataFrame, key: list[str], k: int = 5) -> DataFrame:
-    """Back-off prediction: the top ``k`` continuations (count desc, then
-    word) of the longest context of each sentence that the corpus knows."""
-    ctx = grams.select(
-        (F.col("order") + 1).alias("order"), ngram_string(F.col("begins"), F.col("ends"), F.col("order")).alias("begins")
-    ).distinct()
-    wanted = counts.join(ctx, ["order", "begins"], "left_semi")
-    pruned = W.top_k(wanted, ["begins", "order"], [F.col("ngram_count").desc(), F.col("ends")], k)
-    m = next_matches(grams, pruned, key, literal=False)
-    best = m.groupBy(*key).agg(F.max("order").alias("order"))
-    return m.join(best, [*key, "order"]).select(*key, "order", "begins", "ends", "ngram_count")
+def next_word_backoff(grams: DataFrame, counts: DataFrame, key: list[str], k: int | None = None,
+                      longest_only: bool = False) -> DataFrame:
+    """M5 with plain suffixes: every continuation of every suffix of a sentence,
+    of all matching orders, with its ``rank`` (order desc, count desc, word).
+
+    ``k`` keeps the first so many of each matched context, ``longest_only`` the
+    longest context that the corpus knows."""
+    if k is not None:
+        ctx = grams.select(
+            (F.col("order") + 1).alias("order"),
+            ngram_string(F.col("begins"), F.col("ends"), F.col("order")).alias("begins"),
+        ).distinct()
+        wanted = counts.join(ctx, ["order", "begins"], "left_semi")
+        counts = W.top_k(wanted, ["begins", "order"], [F.col("ngram_count").desc(), F.col("ends")], k)
+    m = next_matches(grams, counts, key, literal=False)
+    if longest_only:
+        m = m.join(m.groupBy(*key).agg(F.max("order").alias("order")), [*key, "order"])
+    w = Window.partitionBy(*key).orderBy(F.desc("order"), F.desc("ngram_count"), "ends")
+    return m.select(*key, "order", "begins", "ends", "ngram_count").withColumn("rank", F.row_number().over(w))
 
 
 def eval_continuations(grams: DataFrame, counts: DataFrame, key: list[str]) -> DataFrame:
     """M6 ``whole_eval_kabang``: the text's grams matched on (order, begins);
     ``prefix_count`` = sum of matched counts per (order, begins); then every
     continuation of those prefixes."""
-    j = grams.select(*key, "order", "begins").join(counts.select("order", "begins", "ngram_count"), ["order", "begins"])
-    pc = j.groupBy(*key, "order", "begins").agg(F.sum("ngram_count").alias("prefix_count"))
+    # occurrences of a prefix times the prefix's own total: no row per continuation before the sum
+    asked = grams.groupBy(*key, "order", "begins").agg(F.count(F.lit(1)).alias("_times"))
+    totals = counts.groupBy("order", "begins").agg(F.sum("ngram_count").alias("_total"))
+    pc = asked.join(totals, ["order", "begins"]).select(
+        *key, "order", "begins", (F.col("_times") * F.col("_total")).alias("prefix_count"))
     return pc.join(counts, ["order", "begins"]).select(*key, "order", "begins", "ends", "ngram_count", "prefix_count")
 
 
 def full_matches(counts: DataFrame, grams: DataFrame) -> DataFrame:
     """J2 ``fullmatches``: corpus rows whose ``ends`` is among the grams'
-    ends and whose ``begins`` is among the grams' begins (two semi-joins)."""
+    ends and whose ``begins`` is among the grams' begins (two semi-joins).
+    ``ends`` of an order-1 corpus row is NULL, so it never matches."""
+    counts = load_corpus(counts, with_ids=False)
     e = grams.select("ends").distinct()
     b = grams.select("begins").distinct()
     return counts.join(e, "ends", "left_semi").join(b, "begins", "left_semi")

@@ -186,8 +186,10 @@ def evaluation_grams(texts: DataFrame, key: tuple[str, ...], max_order: int = 5,
 
 
 def last_words(text: Column, n: int) -> Column:
-    """T14 ``trunc_phrase``: the last ``n`` blank-separated words, re-joined."""
-    return F.array_join(F.slice(F.split(text, " "), -n, n), " ")
+    """T14 ``trunc_phrase``: the last ``n`` blank-separated words, re-joined (all
+    of them where there are fewer)."""
+    parts = F.split(text, " ")
+    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n), " ")
 
 
 def word_from_end(text: Column, how_many: int = 1) -> Column:
@@ -210,18 +212,28 @@ def ngram_order(ngram: Column) -> Column:
 
 
 # Penn-Treebank contraction split (T8), token by token: "don't" -> "do n't",
-# "can't" -> "ca n't", "it's" -> "it 's", "cannot" -> "can not".
-PTB_CONTRACTION = r"^(.+?)(n't|'ll|'re|'ve|'s|'m|'d)$"
-PTB_CANNOT = r"^(can)(not)$"
+# "can't" -> "ca n't", "it's" -> "it 's", "cannot" -> "can not", "gonna" ->
+# "gon na" (fixed values: the public rule set; also with typographic marks).
+PTB_SPLITS = (
+    r"^(.+?)(n['’]t|['’](?:ll|re|ve|s|m|d))$",
+    r"^(can)(not)$",
+    r"^(d)(['’]ye)$",
+    r"^(gim|lem)(me)$",
+    r"^(gon|wan)(na)$",
+    r"^(got)(ta)$",
+    r"^(more)(['’]n)$",
+    r"^(['’]t)(is|was)$",
+)
 
 
 def ptb_split(tokens: Column) -> Column:
     """Split contractions inside a token array (flat result)."""
-    t = F.transform(
-        tokens,
-        lambda w: F.regexp_replace(F.regexp_replace(w, PTB_CONTRACTION, "$1 $2"), PTB_CANNOT, "$1 $2"),
-    )
-    return F.split(F.array_join(t, " "), " ")
+    def split(w: Column) -> Column:
+        for pattern in PTB_SPLITS:
+            w = F.regexp_replace(w, pattern, "$1 $2")
+        return w
+
+    return F.split(F.array_join(F.transform(tokens, split), " "), " ")
 
 
 def tweet_text(sentence: Column) -> Column:

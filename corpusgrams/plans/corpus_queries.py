@@ -129,6 +129,11 @@ def pruned_corpus(spark, sf):
 # --- X1 / S5 incremental counts (Structured Streaming, batch-keyed partials) --
 @query("append_counts", f"WITH {S.model_ctes()} SELECT * FROM counts")
 def append_counts(spark, sf):
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
     from ..streaming.incremental import run_incremental_counts
 
-    return run_incremental_counts(spark, sf, "documents.parquet")
+    # a query starts from nothing each time; a running service keeps its folders
+    base = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
+    return run_incremental_counts(spark, sf, f"{base}/partial", f"{base}/stream", "documents.parquet")

@@ -15,8 +15,8 @@ from .registry import query
 
 GREP_WORD = "hate"
 RATIO_WORDS = ("that", "than")
-HIST_MAX_COUNT, HIST_WIDTH = 100, 5
-PIVOT_SOURCES = ["src0", "src1", "src2"]
+HIST_BINS = 30
+BASE_SOURCE = "src0"
 
 
 def r10(c):
@@ -116,7 +116,7 @@ _CLEAN_FILES_SQL = (
 @query("clean_files", f"SELECT doc_id, {_CLEAN_FILES_SQL} AS text FROM documents")
 def clean_files_q(spark, sf):
     docs = src.table(spark, sf, "documents").select("doc_id", "text")
-    return C.clean_files(src.spread(docs, "doc_id"))
+    return C.clean_files(src.spread(docs, src.spread_setting(spark), "doc_id"))
 
 
 @query(
@@ -338,38 +338,26 @@ def positional_word_counts(spark, sf):
 
 @query(
     "source_vs_others",
-    f"WITH {TOK_CTE}, c AS (SELECT \"from\", word, count(*) AS n FROM tok "
-    f"WHERE \"from\" IN ({', '.join(S.q(s) for s in PIVOT_SOURCES)}) GROUP BY ALL), "
-    f"p AS (SELECT \"from\", word, n / sum(n) OVER (PARTITION BY \"from\") AS proportion FROM c), "
-    f"wide AS (SELECT word, "
-    + ", ".join(f"max(proportion) FILTER (WHERE \"from\" = {S.q(s)}) AS {s}" for s in PIVOT_SOURCES)
-    + " FROM p GROUP BY word) "
-    f"SELECT word, {R10(PIVOT_SOURCES[0])} AS {PIVOT_SOURCES[0]}, 'src1' AS origin, {R10('src1')} AS proportion FROM wide "
-    f"UNION ALL SELECT word, {R10(PIVOT_SOURCES[0])} AS {PIVOT_SOURCES[0]}, 'src2' AS origin, {R10('src2')} AS proportion FROM wide",
+    f"WITH {TOK_CTE}, c AS (SELECT \"from\", word, count(*) AS n FROM tok GROUP BY ALL), "
+    f"p AS (SELECT \"from\", word, n / sum(n) OVER (PARTITION BY \"from\") AS proportion FROM c) "
+    f"SELECT o.word, {R10('b.proportion')} AS base, o.\"from\" AS origin, {R10('o.proportion')} AS proportion "
+    f"FROM p o LEFT JOIN p b ON b.word = o.word AND b.\"from\" = {S.q(BASE_SOURCE)} WHERE o.\"from\" <> {S.q(BASE_SOURCE)}",
 )
 def source_vs_others(spark, sf):
-    t = tok_corpora(spark, sf).filter(F.col("from").isin(PIVOT_SOURCES))
-    c = A.count_by(t, ["from", "word"], "n")
-    p = A.attach_totals(c, ["from"], "n", "_tot").select(
-        "from", "word", (F.col("n") / F.col("_tot")).alias("proportion")
-    )
-    wide = p.groupBy("word").pivot("from", PIVOT_SOURCES).agg(F.first("proportion"))
-    long = wide.unpivot(["word", PIVOT_SOURCES[0]], PIVOT_SOURCES[1:], "origin", "proportion")
-    return long.select(
-        "word", r10(F.col(PIVOT_SOURCES[0])).alias(PIVOT_SOURCES[0]), "origin", r10(F.col("proportion")).alias("proportion")
-    )
+    c = A.source_against_others(tok_corpora(spark, sf), "from", "word", BASE_SOURCE)
+    return c.select("word", r10(F.col("base")).alias("base"), "origin", r10(F.col("proportion")).alias("proportion"))
 
 
 @query(
     "freq_histogram",
-    f"WITH {TOK_CTE}, c AS (SELECT \"from\", word, count(*) AS n FROM tok GROUP BY ALL) "
-    f"SELECT \"from\", CAST((n - 1) // {HIST_WIDTH} AS BIGINT) AS bin, count(*) AS n_words "
-    f"FROM c WHERE n <= {HIST_MAX_COUNT} GROUP BY ALL",
+    f"WITH {TOK_CTE}, c AS (SELECT \"from\", word, count(*) AS n FROM tok GROUP BY ALL), "
+    f"f AS (SELECT \"from\", n / sum(n) OVER (PARTITION BY \"from\") AS freq FROM c), "
+    f"b AS (SELECT \"from\", CAST(least(floor(freq * {HIST_BINS} / (SELECT max(freq) FROM f)), {HIST_BINS - 1}) AS BIGINT) AS bin FROM f) "
+    f"SELECT \"from\", bin, count(*) AS n_words FROM b GROUP BY ALL",
 )
 def freq_histogram(spark, sf):
-    c = A.count_by(tok_corpora(spark, sf), ["from", "word"], "n").filter(F.col("n") <= HIST_MAX_COUNT)
-    b = c.withColumn("bin", ((F.col("n") - 1) / HIST_WIDTH).cast("bigint"))
-    return A.count_by(b, ["from", "bin"], "n_words")
+    c = A.count_by(tok_corpora(spark, sf), ["from", "word"], "n")
+    return A.frequency_histogram(c, "from", "n", HIST_BINS)
 
 
 def _tfidf_sql(table_cte: str, table: str, col: str) -> str:
@@ -410,12 +398,12 @@ def tf_idf_trigram(spark, sf):
 @query(
     "top10_words",
     f"WITH {TOK_CTE}, c AS (SELECT file, word, count(*) AS n FROM tok "
-    f"WHERE NOT regexp_matches(word, {S.q(T.TOKEN_REJECT_PATTERN)}) GROUP BY ALL), "
+    f"WHERE NOT regexp_matches(word, {S.q(T.TOP_WORD_REJECT_PATTERN)}) GROUP BY ALL), "
     f"r AS (SELECT *, rank() OVER (PARTITION BY file ORDER BY n DESC) AS rk FROM c) "
     f"SELECT file, word, n FROM r WHERE rk <= 10",
 )
 def top10_words(spark, sf):
-    t = tok_corpora(spark, sf).filter(~F.col("word").rlike(T.TOKEN_REJECT_PATTERN))
+    t = tok_corpora(spark, sf).filter(~F.col("word").rlike(T.TOP_WORD_REJECT_PATTERN))
     c = A.count_by(t, ["file", "word"], "n")
     return W.top_k(c, ["file"], [F.col("n").desc()], 10, ties=True)
 
@@ -452,17 +440,20 @@ def top_tfidf_trigram(spark, sf):
     return _top_tfidf(_trigram_tbl(spark, sf), "trigram", T.NGRAM_STOP_PATTERN)
 
 
-def _top20_sql(table_cte, table, col):
+def _top20_sql(table_cte, table, col, pattern=None):
     inner = _freq_sql(table_cte, table, col)
+    where = f"WHERE NOT regexp_matches({col}, {S.q(pattern)})" if pattern else ""
     return (
-        f"WITH t AS ({inner}), f AS (SELECT * FROM t WHERE NOT regexp_matches({col}, {S.q(T.NGRAM_STOP_PATTERN)})), "
+        f"WITH t AS ({inner}), f AS (SELECT * FROM t {where}), "
         f"r AS (SELECT *, row_number() OVER (PARTITION BY \"from\" ORDER BY {col}_freq DESC, {col}) AS rk FROM f) "
         f"SELECT \"from\", {col}, {col}_count, total_{col}, {col}_freq FROM r WHERE rk <= 20"
     )
 
 
-def _top20(df, col):
-    f = _freq(df, col).filter(~F.col(col).rlike(T.NGRAM_STOP_PATTERN))
+def _top20(df, col, pattern=None):
+    f = _freq(df, col)
+    if pattern:
+        f = C.drop_ngram_patterns(f, col, pattern)
     return W.top_k(f, ["from"], [F.col(f"{col}_freq").desc(), F.col(col)], 20)
 
 
@@ -476,6 +467,6 @@ def top20_bigrams(spark, sf):
     return _top20(_bigram_tbl(spark, sf), "bigram")
 
 
-@query("top20_trigrams", _top20_sql(TG_CTE, "tg", "trigram"))
+@query("top20_trigrams", _top20_sql(TG_CTE, "tg", "trigram", T.TOP_TRIGRAM_STOP_PATTERN))
 def top20_trigrams(spark, sf):
-    return _top20(_trigram_tbl(spark, sf), "trigram")
+    return _top20(_trigram_tbl(spark, sf), "trigram", T.TOP_TRIGRAM_STOP_PATTERN)

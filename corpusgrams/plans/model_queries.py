@@ -16,7 +16,6 @@ KEYP = ("conv_id", "turn")
 KEYB = ("item_id",)
 CAP_LINES = 1000
 MAXOPTS = 40
-BACKOFF_K = 5
 TRIM_PROP = 0.4
 
 
@@ -38,11 +37,11 @@ def counts(spark, sf, shared=True, max_order=5):
 
 
 def phrases(spark, sf):
-    return src.spread(src.user_phrases(src.table(spark, sf, "conversations")), "conv_id", "turn")
+    return src.spread(src.user_phrases(src.table(spark, sf, "conversations")), src.spread_setting(spark), "conv_id", "turn")
 
 
 def bench(spark, sf):
-    return src.spread(src.evaluation_texts(src.table(spark, sf, "benchmark")), "item_id")
+    return src.spread(src.evaluation_texts(src.table(spark, sf, "benchmark")), src.spread_setting(spark), "item_id")
 
 
 def user_grams(spark, sf, order=5):
@@ -172,10 +171,7 @@ def evaluation_grams_q(spark, sf):
     "FROM conversations WHERE role = 'user'",
 )
 def trunc_phrase_q(spark, sf):
-    p = phrases(spark, sf)
-    parts = F.split("text", " ")
-    start = F.greatest(F.size(parts) - 2, F.lit(1))
-    return p.select(*KEYP, F.array_join(F.slice(parts, start, 3), " ").alias("trunc"))
+    return phrases(spark, sf).select(*KEYP, tk.last_words(F.col("text"), 3).alias("trunc"))
 
 
 @query(
@@ -242,10 +238,10 @@ def perplexity_q(spark, sf):
 @query(
     "next_options",
     W(MODEL, PHRASE_CTE,
-      "ctx AS (SELECT DISTINCT conv_id, turn, begins FROM ugrams)",
-      "j AS (SELECT ctx.conv_id, ctx.turn, c.begins, c.ends, c.ngram_count FROM ctx JOIN counts c USING (begins))",
-      f"r AS (SELECT *, rank() OVER (PARTITION BY conv_id, turn ORDER BY ngram_count DESC) AS rk FROM j)")
-    + f"SELECT conv_id, turn, begins, ends, ngram_count FROM r WHERE rk <= {MAXOPTS}",
+      "ctx AS (SELECT DISTINCT conv_id, turn, \"order\", begins FROM ugrams WHERE \"order\" >= 2)",
+      "j AS (SELECT ctx.conv_id, ctx.turn, c.\"order\", c.begins, c.ends, c.ngram_count FROM ctx JOIN counts c USING (\"order\", begins))",
+      f"r AS (SELECT *, rank() OVER (PARTITION BY conv_id, turn, \"order\" ORDER BY ngram_count DESC) AS rk FROM j)")
+    + f"SELECT conv_id, turn, \"order\", begins, ends, ngram_count FROM r WHERE rk <= {MAXOPTS}",
 )
 def next_options_q(spark, sf):
     return M.next_options(user_grams(spark, sf), counts(spark, sf, shared=False), list(KEYP), MAXOPTS)
@@ -264,14 +260,12 @@ def next_matches_q(spark, sf):
 @query(
     "next_word_backoff",
     W(MODEL, PHRASE_CTE,
-      f"pr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY \"order\", begins ORDER BY ngram_count DESC, ends) AS rk FROM counts) WHERE rk <= {BACKOFF_K})",
       "m AS (SELECT g.conv_id, g.turn, g.sentence_id, c.\"order\", c.begins, c.ends, c.ngram_count FROM ugrams g "
-      "JOIN pr c ON c.\"order\" = g.\"order\" + 1 AND c.begins = CASE WHEN g.\"order\" = 1 THEN g.ends ELSE g.begins || ' ' || g.ends END)",
-      "b AS (SELECT conv_id, turn, sentence_id, max(\"order\") AS mo FROM m GROUP BY ALL)")
-    + "SELECT m.* FROM m JOIN b ON m.conv_id = b.conv_id AND m.turn = b.turn AND m.sentence_id = b.sentence_id AND m.\"order\" = b.mo",
+      "JOIN counts c ON c.\"order\" = g.\"order\" + 1 AND c.begins = CASE WHEN g.\"order\" = 1 THEN g.ends ELSE g.begins || ' ' || g.ends END)")
+    + "SELECT m.*, CAST(row_number() OVER (PARTITION BY conv_id, turn, sentence_id ORDER BY \"order\" DESC, ngram_count DESC, ends) AS INTEGER) AS rank FROM m",
 )
 def next_word_backoff_q(spark, sf):
-    return M.next_word_backoff(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"], BACKOFF_K)
+    return M.next_word_backoff(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"])
 
 
 @query(
@@ -288,7 +282,7 @@ def eval_continuations_q(spark, sf):
 
 
 FULL_MATCH_SQL = (
-    "fm AS (SELECT * FROM counts WHERE ends IN (SELECT ends FROM egrams) AND begins IN (SELECT begins FROM egrams))"
+    "fm AS (SELECT * FROM counts WHERE \"order\" > 1 AND ends IN (SELECT ends FROM egrams) AND begins IN (SELECT begins FROM egrams))"
 )
 
 
@@ -372,40 +366,40 @@ def vocabulary_q(spark, sf):
 @query(
     "ngram_ids",
     W(MODEL) + "SELECT \"order\", begins, ends, ngram_count, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id "
-    "FROM counts WHERE \"order\" <= 3",
+    "FROM counts",
 )
 def ngram_ids(spark, sf):
     from ..operators import ordinals as O
 
-    c = counts(spark, sf, shared=False).filter(F.col("order") <= 3)
+    c = counts(spark, sf, shared=False)
     return O.global_row_number(c, ["order", "begins", "ends"], "ngram_id")
 
 
 @query(
     "recode_ngrams",
     W(MODEL, VOCAB_SQL,
-      "ids AS (SELECT *, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id FROM counts WHERE \"order\" <= 3)")
+      "ids AS (SELECT *, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id FROM counts)")
     + "SELECT ids.ngram_id, v.wid AS begins_wid, ids.\"order\", ids.ends, ids.ngram_count FROM ids LEFT JOIN vocab v ON v.ngram = ids.begins",
 )
 def recode_ngrams_q(spark, sf):
     from ..operators import ordinals as O
 
     c = counts(spark, sf)
-    ids = O.global_row_number(c.filter(F.col("order") <= 3), ["order", "begins", "ends"], "ngram_id")
+    ids = O.global_row_number(c, ["order", "begins", "ends"], "ngram_id")
     return M.recode_begins(ids, M.vocabulary(c))
 
 
 @query(
     "recode_single",
     W(MODEL, VOCAB_SQL,
-      "ids AS (SELECT *, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id FROM counts WHERE \"order\" = 2)")
+      "ids AS (SELECT *, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id FROM counts)")
     + "SELECT ids.ngram_id, v.wid AS ngram FROM ids JOIN vocab v ON v.ngram = ids.ends",
 )
 def recode_single_q(spark, sf):
     from ..operators import ordinals as O
 
     c = counts(spark, sf)
-    ids = O.global_row_number(c.filter(F.col("order") == 2), ["order", "begins", "ends"], "ngram_id")
+    ids = O.global_row_number(c, ["order", "begins", "ends"], "ngram_id")
     return M.recode_single(ids, "ngram_id", "ends", M.vocabulary(c))
 
 

@@ -261,11 +261,11 @@ def bootstrap_ngrams(spark, sf):
 
 @query(
     "ngram_set",
-    W(SAMPLE_CTE, _line_grams_sql("samp", 3, "g3", "doc_id"))
+    W(S.lines_cte(), _line_grams_sql("doc_lines", 3, "g3", "doc_id"))
     + "SELECT begins || ' ' || ends AS ngram, count(*) AS ngram_count, begins AS prefix FROM g3 GROUP BY ALL",
 )
 def ngram_set(spark, sf):
-    g = tk.line_ngrams(sampled(spark, sf), 3, keep=("doc_id",))
+    g = tk.line_ngrams(lines(spark, sf), 3, keep=("doc_id",))
     c = A.count_by(g, ["ngram"], "ngram_count")
     return c.withColumn("prefix", tk.split_last_word(F.col("ngram"))[0])
 
@@ -306,16 +306,16 @@ def sampled_chunk_counts(spark, sf):
 )
 def chunk_fivegram_counts(spark, sf):
     ls = lines(spark, sf)
-    x = O.ordinal_in_group(ls, [], O.doc_bucket(), [F.col("doc_id"), F.col("line_no")], "_rn")
+    x = O.global_row_number(ls, ["doc_id", "line_no"], "_rn")
     x = C.clean_text(x.withColumn("bucket", F.col("_rn") % 1000))
     g = tk.line_ngrams(x, 5, keep=("bucket",))
     return A.count_by(g, ["bucket", "ngram"], "ngram_count")
 
 
-PTB_SQL = (
-    "string_split(array_to_string(list_transform({x}, lambda w: regexp_replace(regexp_replace(w, "
-    + S.q(tk.PTB_CONTRACTION) + ", '\\1 \\2'), " + S.q(tk.PTB_CANNOT) + ", '\\1 \\2')), ' '), ' ')"
-)
+_PTB_WORD = "w"
+for _p in tk.PTB_SPLITS:
+    _PTB_WORD = f"regexp_replace({_PTB_WORD}, {S.q(_p)}, '\\1 \\2')"
+PTB_SQL = "string_split(array_to_string(list_transform({x}, lambda w: " + _PTB_WORD + "), ' '), ' ')"
 
 
 @query(
@@ -341,8 +341,7 @@ def ptb_tokens(spark, sf):
 )
 def ngrams_upto(spark, sf):
     s = tk.sentences(lines(spark, sf))
-    b = O.doc_bucket()
-    c = P.global_chunks(s, b, [F.col("doc_id"), F.col("line_no"), F.col("sent_no")], 10)
+    c = P.global_chunks(s, ["doc_id", "line_no", "sent_no"], 10)
     t = c.select("chunk", tk.ptb_split(T.with_markers(T.words(F.col("text")))).alias("tokens"))
     g = tk.explode_ngrams(t, "tokens", 1, 3, keep=("chunk",)).select("chunk", "order", "begins", "ends").distinct()
     return g.groupBy("order", "begins", "ends").agg(F.count(F.lit(1)).alias("ngram_count"))
@@ -427,7 +426,7 @@ def clean_ngrams(spark, sf):
 def phrase_unigram_prob(spark, sf):
     t = C.remove_stop_words(tk.line_words(lines(spark, sf)))
     f = A.calc_frequency(t, "word").select("word", F.col("word_freq").alias("freq"))
-    p = src.spread(src.user_phrases(src.table(spark, sf, "conversations")), "conv_id", "turn")
+    p = src.spread(src.user_phrases(src.table(spark, sf, "conversations")), src.spread_setting(spark), "conv_id", "turn")
     pw = p.select("conv_id", "turn", F.explode(F.split("text", " ")).alias("word")).distinct()
     lp, _ = A.log_space_product(F.col("freq"))
     m = pw.join(f, "word").groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n_words"), lp.alias("lp"))

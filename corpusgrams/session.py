@@ -77,19 +77,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Materialise a side table (reliable checkpoint), count it, and mark it
-    for broadcast only when it has at most ``max_rows`` rows; a larger table
-    is returned as is and joins by shuffle (AQE still splits skew).
-
-    Used for tables whose size grows slowly but has no hard bound, such as
-    count-of-counts (at most sqrt(2N) distinct counts per order)."""
-    from pyspark.sql import functions as F
-
-    m = cut_lineage(df)
-    return F.broadcast(m) if m.count() <= max_rows else m
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder (survives executor
     loss, unlike a local checkpoint) and return the re-read DataFrame."""

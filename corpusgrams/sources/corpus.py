@@ -21,30 +21,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition by ``keys`` only when the scan gives fewer partitions
-    than the cluster has task slots (a few large files / row groups).
+SPREAD_CONF = "corpusgrams.input.partitions"
 
-    The check reads the planned partition count (no job).  On a large input
-    the scan already has many splits and no shuffle is added.
-    """
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave as is
-        return df
-    if planned >= slots:
-        return df
-    return df.repartition(slots, *keys)
-
-
-def document_lines(docs: DataFrame, lang: str | None = None) -> DataFrame:
+
+def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """Hash-repartition an input of few splits (one file, one row group) into
+    ``partitions`` by ``keys``; None leaves the scan's own splits, as is right
+    for any large input."""
+    return df.repartition(partitions, *keys) if partitions else df
+
+
+def spread_setting(spark: SparkSession) -> int | None:
+    """``corpusgrams.input.partitions`` of the session, None where it is unset."""
+    value = spark.conf.get(SPREAD_CONF, None)
+    return int(value) if value else None
+
+
+def document_lines(docs: DataFrame, lang: str | None = None, partitions: int | None = None) -> DataFrame:
     """Split ``documents.text`` on newlines: one row per line.
 
     ``source`` plays the role of the file name; ``lang`` restricts the corpus
-    to one language (pushed to the scan as a parquet filter).  Lines are
-    spread over the task slots when the scan has too few splits.
+    to one language (pushed to the scan as a parquet filter).  ``partitions``:
+    see ``spread``.
     """
     if lang is not None:
         docs = docs.filter(F.col("lang") == lang)
@@ -54,21 +52,21 @@ def document_lines(docs: DataFrame, lang: str | None = None) -> DataFrame:
         "lang",
         F.posexplode(F.split("text", "\n")).alias("line_no", "text"),
     )
-    return spread(lines, "doc_id", "line_no")
+    return spread(lines, partitions, "doc_id", "line_no")
 
 
 def corpus_lines(spark: SparkSession, sf_dir: str, lang: str | None = None) -> DataFrame:
-    return document_lines(table(spark, sf_dir, "documents"), lang)
+    return document_lines(table(spark, sf_dir, "documents"), lang, spread_setting(spark))
 
 
-def page_lines(pages: DataFrame) -> DataFrame:
+def page_lines(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     """Raw html pages as lines; the page url stands for the file."""
     lines = pages.select(
         F.col("page_id").alias("doc_id"),
         F.col("url").alias("file"),
         F.posexplode(F.split("html", "\n")).alias("line_no", "text"),
     )
-    return spread(lines, "doc_id", "line_no")
+    return spread(lines, partitions, "doc_id", "line_no")
 
 
 def read_text_files(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:

@@ -8,6 +8,7 @@ a retried job overwrites its own output instead of appending twice.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ def read_model(spark: SparkSession, path: str, orders: list[int] | None = None)
     return df.select("order", "begins", "ends", "ngram_count")
 
 
+MODEL_SCHEMA = "order int, begins string, ends string, ngram_count long"
+
+
+def read_csv_model(spark: SparkSession, path: str, orders: list[int] | None = None) -> DataFrame:
+    """N-gram CSV files with a header, read with the model's schema (no inference)."""
+    df = spark.read.option("header", True).option("escape", "\\").schema(MODEL_SCHEMA).csv(path)
+    return df.filter(F.col("order").isin(orders)) if orders else df
+
+
 def _version() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
 
@@ -50,7 +60,7 @@ def commit_dataset(df: DataFrame, base: str, name: str, note: str = "", version:
     df.write.mode("overwrite").parquet(f"{base}/{name}/version={v}")
     spark = df.sparkSession
     meta = spark.createDataFrame([(name, v, note)], "name string, version string, note string")
-    meta.write.mode("append").parquet(f"{base}/{NOTES}")
+    meta.write.mode("overwrite").parquet(f"{base}/{NOTES}/dataset={name}/at={v}")  # a retry writes the same place
     return v
 
 
@@ -83,7 +93,7 @@ def get_split(spark: SparkSession, base: str, tag: str, wh: str = "training", pr
 
 def list_datasets(spark: SparkSession, base: str, search: str | None = None) -> DataFrame:
     """S7 ``list_clean_splits`` / ``pin_search``: names, versions and notes."""
-    df = spark.read.parquet(f"{base}/{NOTES}")
+    df = spark.read.parquet(f"{base}/{NOTES}").select("name", "version", "note")
     if search:
         df = df.filter(F.col("name").contains(search))
     return df
@@ -94,9 +104,14 @@ def open_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(path)
 
 
-def write_chunk_counts(counts: DataFrame, path: str, chunk_col: str = "bucket") -> None:
-    """S9 ``tokenize_to``: per-chunk counts, one folder per chunk."""
-    counts.write.mode("overwrite").partitionBy(chunk_col).parquet(path)
+def write_chunk_counts(counts: DataFrame, path: str, chunk_col: str = "bucket",
+                       to: str | Callable[[DataFrame, str], None] = "parquet") -> None:
+    """S9 ``tokenize_to``: per-chunk counts, one folder per chunk, in the format
+    ``to``, or as the callable ``to(counts, path)`` writes them."""
+    if callable(to):
+        to(counts, path)
+    else:
+        counts.write.mode("overwrite").partitionBy(chunk_col).format(to).save(path)
 
 
 def write_partial_counts(counts: DataFrame, path: str, batch_id: int) -> None:

@@ -9,12 +9,9 @@ all batch folders (``sum_partial_counts``).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.tokenize import ngram_counts
-from ..session import ensure_checkpoint_dir
 from ..sources.corpus import document_lines
 from ..sources.store import sum_partial_counts, write_partial_counts
 
@@ -24,18 +21,14 @@ def count_batch(batch: DataFrame, batch_id: int, out: str, min_order: int = 1, m
     write_partial_counts(ngram_counts(document_lines(batch), min_order, max_order), out, batch_id)
 
 
-def run_incremental_counts(spark: SparkSession, source_dir: str, pattern: str = "documents*.parquet",
-                           out: str | None = None, checkpoint: str | None = None,
-                           files_per_batch: int = 1) -> DataFrame:
+def run_incremental_counts(spark: SparkSession, source_dir: str, out: str, checkpoint: str,
+                           pattern: str = "documents*.parquet", files_per_batch: int = 1) -> DataFrame:
     """Process every file matching ``pattern`` under ``source_dir`` that has
     not been seen yet (``availableNow``), then return the summed model.
 
-    ``out`` / ``checkpoint`` default to fresh folders under the session's
-    checkpoint folder (shared storage on a cluster).
+    ``out`` (partial counts) and ``checkpoint`` (which files were seen) must be
+    kept between calls, on storage that all executors share.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/incremental-{uuid.uuid4().hex}"
-    out = out or f"{base}/partial"
-    checkpoint = checkpoint or f"{base}/stream"
     schema = spark.read.parquet(f"{source_dir}/{pattern}").schema
     stream = (
         spark.readStream.schema(schema)

@@ -33,7 +33,32 @@ def test_partial_counts_replay_counts_once(spark, sf, tmp_dir):
     assert summed.exceptAll(counts).count() == 0 and counts.exceptAll(summed).count() == 0
 
 
-def test_streaming_counts_equal_batch(spark, sf):
+def test_a_retried_commit_is_listed_once(spark, tmp_dir):
+    df = spark.createDataFrame([(1,)], "id int")
+    for _ in range(2):
+        store.commit_dataset(df, tmp_dir, "x", "note", version="v1")
+    assert [tuple(r) for r in store.list_datasets(spark, tmp_dir).collect()] == [("x", "v1", "note")]
+
+
+def test_csv_model(spark, tmp_dir):
+    rows = [(2, "a", "b", 3), (3, "a b", 'c "x"', 1)]
+    df = spark.createDataFrame(rows, store.MODEL_SCHEMA)
+    df.write.option("header", True).csv(f"{tmp_dir}/m")
+    assert sorted(tuple(r) for r in store.read_csv_model(spark, f"{tmp_dir}/m").collect()) == rows
+    assert [r.order for r in store.read_csv_model(spark, f"{tmp_dir}/m", [3]).collect()] == [3]
+
+
+def test_chunk_writer_takes_a_format_or_a_callable(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a", 2)], "bucket int, ngram string, n long")
+    store.write_chunk_counts(df, f"{tmp_dir}/c", to="json")
+    assert spark.read.json(f"{tmp_dir}/c").count() == 1
+    seen = []
+    store.write_chunk_counts(df, f"{tmp_dir}/d", to=lambda d, path: seen.append((d.columns, path)))
+    assert seen == [(["bucket", "ngram", "n"], f"{tmp_dir}/d")]
+
+
+def test_streaming_counts_equal_batch_and_resume(spark, sf, tmp_dir):
     batch = tk.ngram_counts(src.corpus_lines(spark, sf))
-    inc = run_incremental_counts(spark, sf, "documents.parquet")
+    for _ in range(2):  # the second call finds no new file
+        inc = run_incremental_counts(spark, sf, f"{tmp_dir}/counts", f"{tmp_dir}/seen", "documents.parquet")
     assert inc.exceptAll(batch).count() == 0 and batch.exceptAll(inc).count() == 0
