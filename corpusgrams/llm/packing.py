@@ -31,7 +31,7 @@ from .common import documents, id_and_text, small_arrow_batches, text_slices
 
 LENGTH = 4096
 MEET_TASKS = 128
-MEMORY = 400_000  # words, and as many letter runs, that a Python worker remembers
+MEMORY = 300_000  # words, and as many letter runs, that a Python worker remembers (twice that while they are sorted out)
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary, task long")
@@ -128,6 +128,25 @@ def _rows(windows: list[list[Piece]], first_id: int, task: int, keep_ids: bool =
 # --- tokens -------------------------------------------------------------------
 
 
+class Memory(dict):
+    """A bounded dict: when it is full, what was used since the last time stays."""
+
+    def __init__(self, size: int = MEMORY):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def missing(self, wanted: set) -> list:
+        """The keys that are not remembered; the others are in this dict afterwards."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        new = [w for w in wanted if w not in self]
+        if self.old:
+            self.update((w, self.old[w]) for w in new if w in self.old)
+            new = [w for w in new if w not in self]
+        return new
+
+
 class WordTokens:
     """Ids of texts by the tokenizers library, word by word.
 
@@ -144,38 +163,53 @@ class WordTokens:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.latin = regex.compile("[!-~À-ÿ]+").fullmatch
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _library_ids(self, words: list[str]) -> list[bytes]:
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = Memory()
+        self.parts: dict[bytes, bytes] = Memory()
+
+    def _run_ids(self, runs: list[bytes]) -> list[bytes]:
+        """Runs are encoded many at a time, with spaces between; each gives
+        tokens of which exactly the last ends a run."""
+        out: list[bytes] = []
+        for at in range(0, len(runs), 1000):
+            part = runs[at:at + 1000]
+            ids = np.array(self.library.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            cut = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cut) != len(part):
+                raise ValueError("the tokenizer does not mark the ends of runs")
+            packed = ids.tobytes()
+            out += [packed[a:b] for a, b in zip([0, *cut], cut)]
+        return out
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Words of any characters, whole."""
         if not words:
             return []
-        e = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, "<u4")
-        of = np.array(e.word_ids, np.int64)
-        cut = np.searchsorted(of, np.arange(len(words) + 1)) * 4
-        packed = ids.tobytes()
-        return [packed[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        e = self.library.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        packed = np.array(e.ids, "<u4").tobytes()
+        cut = (np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
+        return [packed[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _split(self, w: bytes) -> list[bytes] | None:
+        """The runs of a word; None if only the library can tell."""
+        if len(w) > 64:
+            return None
+        if w.isalpha():  # ASCII letters
+            return [w.lower()]
+        text = w.decode()
+        return [r.encode() for r in self.runs(text.lower())] if self.latin(text) else None
 
     def learn(self, wanted: set[bytes]) -> None:
-        new = [w for w in wanted if w not in self.words]
-        if len(self.words) + len(new) > MEMORY:
-            self.words.clear()
-            new = list(wanted)
-        if len(self.parts) > MEMORY:
-            self.parts.clear()
-        split, odd = {}, []
-        for w in new:
-            text = w.decode()
-            if len(w) <= 64 and self.latin(text):
-                split[w] = self.runs(text.lower())
-            else:
-                odd.append(w)
-        parts = list({p for x in split.values() for p in x if p not in self.parts})
-        self.parts.update(zip(parts, self._library_ids(parts)))
-        for w, x in split.items():
-            self.words[w] = b"".join([self.parts[p] for p in x])
-        self.words.update(zip(odd, self._library_ids([w.decode() for w in odd])))
+        new = self.words.missing(wanted)
+        split = [self._split(w) for w in new]
+        parts = self.parts.missing({p for x in split if x is not None for p in x})
+        self.parts.update(zip(parts, self._run_ids(parts)))
+        known = self.parts.__getitem__
+        self.words.update((w, b"".join(map(known, x))) for w, x in zip(new, split) if x is not None)
+        odd = [w for w, x in zip(new, split) if x is None]
+        self.words.update(zip(odd, self._word_ids(odd)))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 4-byte integers."""
