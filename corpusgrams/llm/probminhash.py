@@ -22,6 +22,8 @@ propagation with pointer jumping, in tables throughout.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,7 @@ from .words import Words
 
 SHINGLE = 5
 SIMILAR = 0.8
+GROWTH = 8
 BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares a bucket with probability 0.9999
 
 
@@ -153,8 +156,8 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     the sizes of all the node's buckets, summed up."""
     places = nodes.select("node", "n", F.explode("bands").alias("key"))
     sizes = cut_lineage(places.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    shared = cut_lineage(places.join(sizes, "key"))
-    central = cut_lineage(shared.groupBy("node").agg(F.sum("size").alias("places")))
+    shared = places.join(sizes, "key")
+    central = shared.groupBy("node").agg(F.sum("size").alias("places"))
     return cut_lineage(shared.drop("size").join(central, "node"))
 
 
@@ -180,45 +183,40 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, label (the component's smallest node) of all nodes in ``links`` (a, b).
 
-    Each round gives a node, and the node that its label names, the smallest
-    label around, then lets labels follow labels, until nothing changes."""
-    edges = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node"))
+    Each round gives a node the smallest label around it, then lets labels
+    follow labels, until nothing changes."""
+    edges = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).withColumnRenamed("a", "node")
+    labels = cut_lineage(labels)
     while True:
         around = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        offers = labels.join(around.withColumnRenamed("a", "node"), "node").select(
-            "node", "label", F.least("label", "near").alias("near"))
-        offers = cut_lineage(offers)
-        hooked = (
-            offers.select("node", "near").unionByName(offers.select(F.col("label").alias("node"), "near"))
-            .groupBy("node").agg(F.min("near").alias("label"))
-        )
-        hooked = cut_lineage(hooked)
-        jumped = hooked.alias("x").join(hooked.select(F.col("node").alias("label"), F.col("label").alias("top")), "label")
-        new = cut_lineage(jumped.select("node", F.least("label", "top").alias("label")))
-        moved = new.join(labels.withColumnRenamed("label", "before"), "node").filter("label <> before")
-        labels = new
-        if not moved.take(1):
+        lower = cut_lineage(labels.join(around.withColumnRenamed("a", "node"), "node").select(
+            "node", F.col("label").alias("before"), F.least("label", "near").alias("label")))
+        top = lower.select(F.col("node").alias("label"), F.col("label").alias("top"))
+        new = cut_lineage(lower.join(top, "label").select("node", "before", F.least("label", "top").alias("label")))
+        labels = new.select("node", "label")
+        if not new.filter("label <> before").take(1):
             return labels
 
 
 def _linked_classes(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
     """node, label of all nodes that have a link; None if there is no link."""
-    spark = buckets.sparkSession
     left, labels = buckets, None
-    links = spark.createDataFrame([], "a long, b long")
-    tested = links
+    tested: list[DataFrame] = []
+    links: list[DataFrame] = []
     for turn in range(64):
-        now = left.withColumn("class", F.col("node")) if labels is None else left.join(labels, "node", "left").select(
-            "key", "node", "n", "places", F.coalesce("label", "node").alias("class"))
-        now = cut_lineage(now)
-        salt = F.pmod(F.xxhash64("node"), F.lit(2 ** max(0, turn - 1)))
+        if labels is None:
+            now = left.withColumn("class", F.col("node"))
+        else:
+            now = left.join(labels, "node", "left").select(
+                "key", "node", "n", "places", F.coalesce("label", "node").alias("class"))
+        salt = F.pmod(F.xxhash64("node"), F.lit(min(GROWTH**turn, 2**40)))
         best = F.max(F.struct("places", (-F.col("node")).alias("rank"), "class", "n"))
-        centres = now.groupBy("key", salt.alias("salt")).agg(
+        some = now.groupBy("key", salt.alias("salt")).agg(
             best.alias("centre"), F.min("class").alias("low"), F.max("class").alias("high"))
         centres = cut_lineage(
-            centres.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"),
-                                       F.collect_list("centre").alias("centres"))  # 2**(turn - 1) at most
+            some.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"),
+                                    F.collect_list("centre").alias("centres"))  # GROWTH**turn at most
             .filter("low <> high").select("key", "centres"))
         if not centres.take(1):
             return labels
@@ -227,14 +225,17 @@ def _linked_classes(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
             (F.col("c.class") != F.col("class"))
             & (F.least("n", "c.n") >= SIMILAR * F.greatest("n", "c.n"))  # else their similarity is lower
         ).select(F.least("node", -F.col("c.rank")).alias("a"), F.greatest("node", -F.col("c.rank")).alias("b")).distinct()
-        pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = cut_lineage(tested.unionByName(pairs))
+        for earlier in tested:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        tested.append(pairs)
         new = cut_lineage(verified(pairs, texts))
         if new.take(1):
-            links = cut_lineage(links.unionByName(new))
-            labels = components(links)
-        left = met.filter(~F.exists("centres", lambda c: c["rank"] == -F.col("node"))).select("key", "node", "n", "places")
-    raise RuntimeError("buckets are left after 64 rounds")  # each round doubles the centres
+            links.append(new)
+            labels = components(functools.reduce(DataFrame.unionByName, links))
+        left = cut_lineage(
+            met.filter(~F.exists("centres", lambda c: c["rank"] == -F.col("node"))).select("key", "node", "n", "places"))
+    raise RuntimeError("buckets are left after 64 rounds")  # the centres of a round grow without bound
 
 
 def near_classes(rows: DataFrame) -> DataFrame:
