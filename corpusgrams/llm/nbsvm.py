@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, held_out, id_and_text, labels, small_arrow_batches, text_slices
+from .common import bounded_sample, documents, held_out, id_and_text, labels, small_arrow_batches, text_slices
 from .words import Words, first_of_each
 
 N_FEATURES = 1 << 18
@@ -181,12 +181,9 @@ def fit(docs: DataFrame, labelled: DataFrame, max_train: int = MAX_TRAIN) -> dic
     ids the smallest label counts).  The sample is the ``max_train`` ids of
     smallest hash, so it does not depend on the order of the rows."""
     small_arrow_batches(docs.sparkSession)
-    sample = (
-        labelled.select(labelled["doc_id"].cast("bigint").alias("doc_id"), labelled["quality"].cast("int").alias("quality"))
-        .filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~held_out())
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    )
+    marks = labelled.select(labelled["doc_id"].cast("bigint").alias("doc_id"), labelled["quality"].cast("int").alias("quality"))
+    able = marks.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~held_out())
+    sample = bounded_sample(able, max_train, "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = (
         id_and_text(docs).join(F.broadcast(sample), "doc_id")  # at most max_train rows
         .select("doc_id", "quality", "text")
