@@ -4,8 +4,10 @@ Per-group totals are an aggregate joined back on the group key rather than a
 window ``sum() over (partition by group)``: a window sends every row of a
 group to one task, which a source holding a third of the corpus would
 overload.  The totals side has one row per group; adaptive execution turns
-the join into a broadcast once that side is measured small, and splits a
-skewed partition otherwise.
+the join into a broadcast once that side is measured small.  It splits a
+skewed partition only between two plain shuffles, not beside an aggregate on
+the join key; where a single key can be hot and the totals are many, they are
+written out before the join (``positional_counts``).
 """
 
 from __future__ import annotations

@@ -3,9 +3,10 @@
 The corpus is ``(order, begins, ends, ngram_count)``; phrase-side inputs are
 tables keyed by the caller's key columns, and every query answers all phrases
 in one job.  Joins are plain equi-joins: adaptive execution broadcasts the
-phrase side when it is measured small and splits skewed corpus partitions
-(``__bos__`` and frequent words) otherwise.  Top-k continuations are pruned
-per prefix before the join, so a hot prefix contributes k rows per phrase.
+phrase side when it is measured small and splits skewed partitions between
+plain shuffles; totals of a hot prefix (``__bos__``, frequent words) are
+written out first for that.  Top-k continuations are pruned per prefix before
+the join, ties kept.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ from bounded pieces:
 
 * ``ordinal_in_group``: a coarse *bucket* that is monotone in the order key
   splits each group into small (group, bucket) windows; bucket sizes are
-  summed into offsets over a table with one row per (group, bucket).
+  summed into offsets over a table with one row per (group, bucket).  The
+  offsets of a group meet in one task, so buckets must hold many rows each:
+  ids should be dense, or the bucket a hash prefix.
 * ``global_row_number``: range-partition by the order key, number rows inside
   each partition, and add the (broadcast, one row per partition) offsets.
 """
