@@ -8,16 +8,21 @@ component with their probability Jaccard similarity (for equal weights: the
 Jaccard similarity).  A document is done as soon as no shingle's next arrival
 can come before the last component's first one.
 
-``BANDS`` bands of ``ROWS`` components make buckets.  Equal texts are one node,
-so a hot text is one row from here on.  Within a bucket not all pairs are
-listed: the member that shares most bucket places (the likely original) is the
-centre, and the others are compared with it; links are verified on the whole
-shingle sets (Jaccard of at least ``SIMILAR``); whoever is then in one class
-needs no more comparison.  Centres leave their buckets and the rest goes on, with
-twice as many centres each round, until each bucket's members are of one class
-or all compared.  So no link of a bucket is lost, and a group of near copies
-costs a few comparisons a member.  Classes are connected components, by label
-propagation with pointer jumping, in tables throughout.
+``BANDS`` bands of five components make buckets.  Equal texts are one node, so a
+hot text is one row from here on.  Within a bucket not all pairs are listed: the
+member that shares most bucket places (the likely original) is the centre, and the
+others are compared with it; links are verified on the whole shingle sets (Jaccard
+of at least ``SIMILAR``); whoever is then in one class needs no more comparison.
+Centres leave their buckets and the rest goes on, the least connected members as
+centres now and ``GROWTH`` times as many each round, until each bucket's members
+are of one class or all compared.  A pair whose signatures show a similarity well
+below ``SIMILAR`` is not verified; this, like the banding, loses a pair of
+similarity 0.8 with a probability of 0.0001, and no cap loses any.  Classes are
+connected components, by label propagation with pointer jumping, in tables
+throughout.
+
+Near copies that are edited so much that they are no longer similar to most of
+their group need comparisons with all of it: these are the pairs that grow.
 """
 
 from __future__ import annotations
@@ -36,7 +41,9 @@ from .words import Words
 SHINGLE = 5
 SIMILAR = 0.8
 GROWTH = 8
-BANDS, ROWS = 24, 5  # a pair of similarity 0.8 shares a bucket with probability 0.9999
+BANDS, COMPONENTS = 24, 120  # a pair of similarity 0.8 shares a bucket with probability 0.9999
+# components whose lowest four bits agree: 97.5 of 120 expected at similarity 0.8, standard deviation 4.3
+SKETCH_AGREE = 82
 
 
 # --- shingles and signatures (numpy, inside tasks) ------------------------------------
@@ -80,7 +87,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs: int,
-               size: int = BANDS * ROWS) -> np.ndarray:
+               size: int = COMPONENTS) -> np.ndarray:
     """ProbMinHash: (n_docs, size) elements; rows of documents without elements are 0."""
     arrival = np.full((n_docs, size), np.inf)
     winner = np.zeros((n_docs, size), np.uint64)
@@ -105,32 +112,45 @@ def signatures(of: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
     return winner
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
-    """(n_docs, BANDS) bucket keys; equal keys of different bands do not meet."""
-    parts = signature.reshape(len(signature), BANDS, ROWS)
-    h = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
-    for k in range(ROWS):
+def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """(n_docs, bands) bucket keys; equal keys of different bands do not meet."""
+    parts = signature.reshape(len(signature), bands, -1)
+    h = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+    for k in range(parts.shape[2]):
         h = mix(h + parts[:, :, k])
     return h.astype(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """(n_docs, 8) numbers with four bits of every component (the rest is 0)."""
+    four = np.zeros((len(signature), 128), np.uint64)
+    four[:, :COMPONENTS] = mix(signature) & np.uint64(15)
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(four.reshape(-1, 8, 16) << shifts, axis=2).astype(np.int64)
+
+
 def weights(count: np.ndarray) -> np.ndarray:
     return 1.0 + np.log(count)
 
 
+def _lists(x: np.ndarray, some: np.ndarray) -> pa.ListArray:
+    """The rows of ``x`` as lists, empty where not ``some``."""
+    ends = np.concatenate([[0], np.cumsum(np.where(some, x.shape[1], 0))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(x[some].ravel()))
+
+
 def _sign_batches(batches):
     for batch in batches:
         at = batch.schema.get_field_index("text")
         for s in text_slices(batch):
             of, element, count = shingles(s.column(at))
-            keys = band_keys(signatures(of, element, weights(count), s.num_rows))
+            signature = signatures(of, element, weights(count), s.num_rows)
             n = np.bincount(of, minlength=s.num_rows)
-            size = np.where(n > 0, BANDS, 0)  # a text without words meets nobody
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)),
-                                             pa.array(keys[n > 0].ravel()))
+            # a text without words meets nobody
+            lists = [_lists(x, n > 0) for x in (band_keys(signature), sketches(signature))]
             rest = [s.column(c) for c in ("uid", "doc_id", "digest")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(n.astype(np.int64)), lists],
-                                             ["uid", "doc_id", "digest", "n", "bands"])
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(n.astype(np.int64)), *lists],
+                                             ["uid", "doc_id", "digest", "n", "bands", "sketch"])
 
 
 def _shingle_batches(batches):
@@ -145,20 +165,37 @@ def _shingle_batches(batches):
 # --- tables ----------------------------------------------------------------------
 
 
+SIGNED = ("uid long, doc_id long, digest binary, n long, bands array<long>, sketch array<long>")
+
+
 def _rows(docs: DataFrame, uid: Column) -> DataFrame:
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     return docs.select(uid.alias("uid"), docs["doc_id"].cast("bigint").alias("doc_id"), text.alias("text"),
                        F.unhex(F.sha2(text, 256)).alias("digest"))
 
 
+MEMBER = ["key", "node", "n", "places", "sketch"]
+
+
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """key, node, n, places of every bucket place that is shared; ``places``:
-    the sizes of all the node's buckets, summed up."""
-    places = nodes.select("node", "n", F.explode("bands").alias("key"))
+    """MEMBER of every bucket place that is shared; ``places``: the sizes of all
+    the node's buckets, summed up."""
+    places = nodes.select("node", "n", "sketch", F.explode("bands").alias("key"))
     sizes = cut_lineage(places.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     shared = places.join(sizes, "key")
     central = shared.groupBy("node").agg(F.sum("size").alias("places"))
-    return cut_lineage(shared.drop("size").join(central, "node"))
+    return cut_lineage(shared.drop("size").join(central, "node").select(*MEMBER))
+
+
+def agreement(a: Column, b: Column) -> Column:
+    """In how many groups of four bits two sketches agree (the padding always does)."""
+    def differing(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2))
+        return F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(COMPONENTS) - F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda s, x: s + x)
 
 
 def _texts_of(nodes: DataFrame, rows: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -199,19 +236,44 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _linked_classes(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """node, label of all nodes that have a link; None if there is no link."""
-    left, labels = buckets, None
-    tested: list[DataFrame] = []
-    links: list[DataFrame] = []
+class Links:
+    """What is known so far: verified links, the pairs compared, labels of linked nodes."""
+
+    def __init__(self):
+        self.links: list[DataFrame] = []
+        self.tested: list[DataFrame] = []
+        self.labels: DataFrame | None = None  # node, label
+        self.n_links = self.n_labelled = 0  # so many links are known; labels are of so many
+
+    def add(self, new: DataFrame) -> None:
+        """Labels are made anew when a twentieth of the links is new: older ones
+        join too little, which costs comparisons but no link."""
+        n = new.count()
+        if n:
+            self.links.append(new)
+            self.n_links += n
+        if (self.n_links - self.n_labelled) * 20 > self.n_links:
+            self.label()
+
+    def label(self) -> None:
+        if self.n_labelled < self.n_links:
+            self.labels = components(functools.reduce(DataFrame.unionByName, self.links))
+            self.n_labelled = self.n_links
+
+
+def _link_buckets(buckets: DataFrame, texts: DataFrame, known: Links) -> None:
+    """Compare within the buckets until no member of one class is left
+    uncompared with one of another."""
+    left = buckets
     for turn in range(64):
+        labels = known.labels
         if labels is None:
             now = left.withColumn("class", F.col("node"))
         else:
-            now = left.join(labels, "node", "left").select(
-                "key", "node", "n", "places", F.coalesce("label", "node").alias("class"))
+            now = left.join(labels, "node", "left").select(*MEMBER, F.coalesce("label", "node").alias("class"))
         salt = F.pmod(F.xxhash64("node"), F.lit(min(GROWTH**turn, 2**40)))
-        best = F.max(F.struct("places", (-F.col("node")).alias("rank"), "class", "n"))
+        rank = F.col("places") if turn == 0 else -F.col("places")
+        best = F.max(F.struct(rank.alias("rank"), "node", "class", "n", "sketch"))
         some = now.groupBy("key", salt.alias("salt")).agg(
             best.alias("centre"), F.min("class").alias("low"), F.max("class").alias("high"))
         centres = cut_lineage(
@@ -219,35 +281,36 @@ def _linked_classes(buckets: DataFrame, texts: DataFrame) -> DataFrame | None:
                                     F.collect_list("centre").alias("centres"))  # GROWTH**turn at most
             .filter("low <> high").select("key", "centres"))
         if not centres.take(1):
-            return labels
+            return
         met = now.join(centres, "key")
-        pairs = met.select("node", "n", "class", F.explode("centres").alias("c")).filter(
-            (F.col("c.class") != F.col("class"))
-            & (F.least("n", "c.n") >= SIMILAR * F.greatest("n", "c.n"))  # else their similarity is lower
-        ).select(F.least("node", -F.col("c.rank")).alias("a"), F.greatest("node", -F.col("c.rank")).alias("b")).distinct()
-        for earlier in tested:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        able = F.filter("centres", lambda c: (c["class"] != F.col("class"))
+                        & (F.least("n", c["n"]) >= SIMILAR * F.greatest("n", c["n"]))  # else their similarity is lower
+                        & (agreement(F.col("sketch"), c["sketch"]) >= SKETCH_AGREE))
+        pairs = met.select("node", F.explode(F.transform(able, lambda c: c["node"])).alias("c")).select(
+            F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+        if known.tested:
+            pairs = pairs.join(functools.reduce(DataFrame.unionByName, known.tested), ["a", "b"], "left_anti")
         pairs = cut_lineage(pairs)
-        tested.append(pairs)
-        new = cut_lineage(verified(pairs, texts))
-        if new.take(1):
-            links.append(new)
-            labels = components(functools.reduce(DataFrame.unionByName, links))
-        left = cut_lineage(
-            met.filter(~F.exists("centres", lambda c: c["rank"] == -F.col("node"))).select("key", "node", "n", "places"))
+        known.tested.append(pairs)
+        known.add(cut_lineage(verified(pairs, texts)))
+        left = cut_lineage(met.filter(~F.exists("centres", lambda c: c["node"] == F.col("node"))).select(*MEMBER))
     raise RuntimeError("buckets are left after 64 rounds")  # the centres of a round grow without bound
 
 
 def near_classes(rows: DataFrame) -> DataFrame:
     """uid, doc_id, class_id, class_size, kept of every row (uid, doc_id, text, digest)."""
     small_arrow_batches(rows.sparkSession)
-    signed = cut_lineage(rows.mapInArrow(_sign_batches, "uid long, doc_id long, digest binary, n long, bands array<long>"))
+    signed = cut_lineage(rows.mapInArrow(_sign_batches, SIGNED))
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("uid"))
     nodes = signed.groupBy("digest").agg(F.min(best).alias("best"), F.first("n").alias("n"), F.first("bands").alias("bands"),
+                                         F.first("sketch").alias("sketch"),
                                          F.count(F.lit(1)).alias("copies"))
     nodes = cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
-    buckets = _buckets(nodes)
-    labels = _linked_classes(buckets, _texts_of(nodes, rows, buckets)) if buckets.take(1) else None
+    buckets, known = _buckets(nodes), Links()
+    if buckets.take(1):
+        _link_buckets(buckets, _texts_of(nodes, rows, buckets), known)
+        known.label()
+    labels = known.labels
     member = nodes.select("node", "digest", "best", "copies")
     if labels is None:
         member = member.withColumn("class", F.col("node"))
