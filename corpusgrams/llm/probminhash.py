@@ -15,11 +15,12 @@ others are compared with it; links are verified on the whole shingle sets (Jacca
 of at least ``SIMILAR``); whoever is then in one class needs no more comparison.
 Centres leave their buckets and the rest goes on, the least connected members as
 centres now and ``GROWTH`` times as many each round, until each bucket's members
-are of one class or all compared.  A pair whose signatures show a similarity well
-below ``SIMILAR`` is not verified; this, like the banding, loses a pair of
-similarity 0.8 with a probability of 0.0001, and no cap loses any.  Classes are
-connected components, by label propagation with pointer jumping, in tables
-throughout.
+are of one class or all compared.  A pair is not verified only where it cannot be a
+link: by the sizes of the shingle sets, or because the parities of the shingles in
+``GROUPS`` groups differ in so many groups that too few shingles can be shared (a
+group of unequal parities holds a shingle of one text alone).  Both bounds are
+exact and no cap loses any.  Classes are connected components, by label
+propagation with pointer jumping, in tables throughout.
 
 Near copies that are edited so much that they are no longer similar to most of
 their group need comparisons with all of it: these are the pairs that grow.
@@ -42,8 +43,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 GROWTH = 8
 BANDS, COMPONENTS = 24, 120  # a pair of similarity 0.8 shares a bucket with probability 0.9999
-# components whose lowest four bits agree: 97.5 of 120 expected at similarity 0.8, standard deviation 4.3
-SKETCH_AGREE = 82
+GROUPS = 512  # a power of two
 
 
 # --- shingles and signatures (numpy, inside tasks) ------------------------------------
@@ -121,12 +121,11 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return h.astype(np.int64)
 
 
-def sketches(signature: np.ndarray) -> np.ndarray:
-    """(n_docs, 8) numbers with four bits of every component (the rest is 0)."""
-    four = np.zeros((len(signature), 128), np.uint64)
-    four[:, :COMPONENTS] = mix(signature) & np.uint64(15)
-    shifts = np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(four.reshape(-1, 8, 16) << shifts, axis=2).astype(np.int64)
+def sketches(of: np.ndarray, element: np.ndarray, n_docs: int) -> np.ndarray:
+    """(n_docs, GROUPS / 64) numbers: whether a text has an odd number of shingles, by group."""
+    group = (element >> np.uint64(65 - GROUPS.bit_length())).astype(np.int64)
+    odd = (np.bincount(of * GROUPS + group, minlength=n_docs * GROUPS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n_docs, GROUPS), axis=1, bitorder="little").view("<i8")
 
 
 def weights(count: np.ndarray) -> np.ndarray:
@@ -147,7 +146,7 @@ def _sign_batches(batches):
             signature = signatures(of, element, weights(count), s.num_rows)
             n = np.bincount(of, minlength=s.num_rows)
             # a text without words meets nobody
-            lists = [_lists(x, n > 0) for x in (band_keys(signature), sketches(signature))]
+            lists = [_lists(x, n > 0) for x in (band_keys(signature), sketches(of, element, s.num_rows))]
             rest = [s.column(c) for c in ("uid", "doc_id", "digest")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(n.astype(np.int64)), *lists],
                                              ["uid", "doc_id", "digest", "n", "bands", "sketch"])
@@ -187,15 +186,11 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return cut_lineage(shared.drop("size").join(central, "node").select(*MEMBER))
 
 
-def agreement(a: Column, b: Column) -> Column:
-    """In how many groups of four bits two sketches agree (the padding always does)."""
-    def differing(x: Column, y: Column) -> Column:
-        z = x.bitwiseXOR(y)
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 2))
-        return F.bit_count(z.bitwiseAND(F.lit(0x1111111111111111)))
-
-    return F.lit(COMPONENTS) - F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda s, x: s + x)
+def most_common(n: Column, sketch: Column, other: Column) -> Column:
+    """How many shingles two texts of ``n`` shingles together can share: each
+    group of unequal parities has one that is not shared."""
+    unequal = F.zip_with(sketch, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return (n - F.aggregate(unequal, F.lit(0), lambda s, x: s + x)) / 2
 
 
 def _texts_of(nodes: DataFrame, rows: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -209,12 +204,17 @@ def _texts_of(nodes: DataFrame, rows: DataFrame, buckets: DataFrame) -> DataFram
     return saved_table(found.select("node", "text").mapInArrow(_shingle_batches, "node long, shingles array<long>"))
 
 
+def is_link(n: Column, common: Column) -> Column:
+    """Of sets of ``n`` elements together, ``common`` of them in both (more can only help)."""
+    return common >= SIMILAR * (n - common)
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of SIMILAR or more."""
     of = lambda side: texts.select(F.col("node").alias(side), F.col("shingles").alias(f"{side}_set"))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("a_set", "b_set"))
-    return both.filter(common >= SIMILAR * (F.size("a_set") + F.size("b_set") - common)).select("a", "b").distinct()
+    return both.filter(is_link(F.size("a_set") + F.size("b_set"), common)).select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -285,7 +285,7 @@ def _link_buckets(buckets: DataFrame, texts: DataFrame, known: Links) -> None:
         met = now.join(centres, "key")
         able = F.filter("centres", lambda c: (c["class"] != F.col("class"))
                         & (F.least("n", c["n"]) >= SIMILAR * F.greatest("n", c["n"]))  # else their similarity is lower
-                        & (agreement(F.col("sketch"), c["sketch"]) >= SKETCH_AGREE))
+                        & is_link(F.col("n") + c["n"], most_common(F.col("n") + c["n"], F.col("sketch"), c["sketch"])))
         pairs = met.select("node", F.explode(F.transform(able, lambda c: c["node"])).alias("c")).select(
             F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
         if known.tested:

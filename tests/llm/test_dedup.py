@@ -169,3 +169,30 @@ def test_shingles_match_brute_force(edge):
         want = Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else Counter()
         assert sorted(count[of == n]) == sorted(want.values())
         assert len(set(h[of == n])) == len(want)
+
+
+def repeating_pairs(n_pairs, line_words, rest_words, times, edits):
+    """Pairs of texts; the second has a line more often, and some words of the rest changed."""
+    rows = []
+    for p in range(n_pairs):
+        line = [f"l{p}x{i}" for i in range(line_words)]
+        rest = [f"r{p}x{i}" for i in range(rest_words)]
+        other = [f"e{p}x{i}" if i in range(20, 20 + 10 * edits, 10) else w for i, w in enumerate(rest)]
+        rows += [(2 * p, " ".join(line + rest)), (2 * p + 1, " ".join(line * times + other))]
+    return rows
+
+
+def test_near_copies_that_repeat_a_line_are_verified(spark):
+    check_near(spark.createDataFrame(repeating_pairs(10, 89, 196, 5, 4), "doc_id long, text string"))
+
+
+def test_no_link_exceeds_its_bound():
+    """Unequal parities never tell of more shingles of one text alone than there are."""
+    rng = np.random.default_rng(8)
+    for n in (1, 9, 90, 900, 9000):
+        pool = rng.integers(0, 2**64, 2 * n, dtype=np.uint64)
+        for _ in range(50):
+            a, b = pool[rng.random(2 * n) < rng.random()], pool[rng.random(2 * n) < rng.random()]
+            s = P.sketches(np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b]), 3).view(np.uint64)
+            assert s.shape == (3, P.GROUPS // 64) and not s[2].any()
+            assert np.bitwise_count(s[0] ^ s[1]).sum() <= len(np.setxor1d(a, b))
