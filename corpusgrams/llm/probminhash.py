@@ -1,11 +1,11 @@
 """Near-duplicate documents by ProbMinHash signatures, banding and verification.
 
 A document's shingles are its runs of five words (fewer words: all of them as
-one shingle), weighted by 1 + ln(count).  In a ProbMinHash each shingle sends a
+one shingle), each with weight 1 however often it occurs.  In a ProbMinHash each shingle sends a
 Poisson process of arrivals at a rate of its weight, each to a random component;
 a component keeps the shingle that arrives first.  Two documents agree in a
-component with their probability Jaccard similarity (for equal weights: the
-Jaccard similarity).  A document is done as soon as no shingle's next arrival
+component with their probability Jaccard similarity: for equal weights the
+Jaccard similarity, which is what is verified.  A document is done as soon as no shingle's next arrival
 can come before the last component's first one.
 
 ``BANDS`` bands of five components make buckets.  Equal texts are one node, so a
@@ -128,10 +128,6 @@ def sketches(of: np.ndarray, element: np.ndarray, n_docs: int) -> np.ndarray:
     return np.packbits(odd.reshape(n_docs, GROUPS), axis=1, bitorder="little").view("<i8")
 
 
-def weights(count: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log(count)
-
-
 def _lists(x: np.ndarray, some: np.ndarray) -> pa.ListArray:
     """The rows of ``x`` as lists, empty where not ``some``."""
     ends = np.concatenate([[0], np.cumsum(np.where(some, x.shape[1], 0))]).astype(np.int32)
@@ -142,8 +138,8 @@ def _sign_batches(batches):
     for batch in batches:
         at = batch.schema.get_field_index("text")
         for s in text_slices(batch):
-            of, element, count = shingles(s.column(at))
-            signature = signatures(of, element, weights(count), s.num_rows)
+            of, element, _ = shingles(s.column(at))
+            signature = signatures(of, element, np.ones(len(of)), s.num_rows)
             n = np.bincount(of, minlength=s.num_rows)
             # a text without words meets nobody
             lists = [_lists(x, n > 0) for x in (band_keys(signature), sketches(of, element, s.num_rows))]

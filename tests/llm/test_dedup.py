@@ -186,6 +186,10 @@ def test_near_copies_that_repeat_a_line_are_verified(spark):
     check_near(spark.createDataFrame(repeating_pairs(10, 89, 196, 5, 4), "doc_id long, text string"))
 
 
+def test_near_copies_that_repeat_a_line_share_buckets(spark):
+    check_near(spark.createDataFrame(repeating_pairs(30, 60, 240, 201, 0), "doc_id long, text string"))
+
+
 def test_no_link_exceeds_its_bound():
     """Unequal parities never tell of more shingles of one text alone than there are."""
     rng = np.random.default_rng(8)
