@@ -23,7 +23,7 @@ from .spans import find_spans
 #: The contract's phrases and labels (fixed values).
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# label, keyword (in every name and code), name as words, short code as words
+# label, keyword (in every form of the name), name as words, short code as words
 LICENSES = (
     ("mit", "mit", "mit", "mit"),
     ("mit-0", "mit", "mit no attribution", "mit 0"),
@@ -59,7 +59,8 @@ LICENSES = (
     ("ms-pl", "microsoft public", "microsoft public license", "ms pl"),
     ("ms-rl", "microsoft reciprocal", "microsoft reciprocal license", "ms rl"),
     ("cc0", "cc0", "(?:creative commons )?cc0(?: 1 0)?", "cc0 1 0"),
-    ("cc-by", "by", "(?:cc by|creative commons attribution)(?: [1234] 0)?", "cc by [1234] 0"),
+    ("cc-by", "by", "cc by(?: [1234] 0)?", "cc by [1234] 0"),
+    ("cc-by", "attribution", "creative commons attribution(?: [1234] 0)?", "cc by [1234] 0"),
     ("cc-by-sa", "sa", "cc by sa(?: [1234] 0)?", "cc by sa [1234] 0"),
     ("cc-by-sa", "share", "creative commons attribution share ?alike(?: [1234] 0)?", "cc by share alike"),
     ("cc-by-nd", "nd", "cc by nd(?: [1234] 0)?", "cc by nd [1234] 0"),
@@ -115,9 +116,9 @@ WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # runs between words (the te
 
 def rules() -> list[tuple[str, int, float, str, str]]:
     """(label, priority, confidence, keyword, pattern) of every rule."""
-    out = [(label, priority, sure, keyword, form.format(n=name, c=code))
+    out = [(label, priority, sure, keyword if "{n}" in form else "identifier " + code.split()[0], form.format(n=name, c=code))
            for label, keyword, name, code in LICENSES for form, priority, sure in FORMS]
-    return out + [(label, 1 if pattern.count(" ") < 6 else 6, 0.6 if pattern.count(" ") < 6 else 0.95, keyword, pattern)
+    return list(dict.fromkeys(out)) + [(label, 1 if pattern.count(" ") < 6 else 6, 0.6 if pattern.count(" ") < 6 else 0.95, keyword, pattern)
                   for label, keyword, pattern in PASSAGES]
 
 

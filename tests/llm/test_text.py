@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from re import _parser as parser
 
 import duckdb
 import numpy as np
@@ -151,6 +152,57 @@ def test_there_are_hundreds_of_rules_with_their_keywords():
     assert all(1 <= prio <= 8 and 0 < sure <= 1 for _, prio, sure, _, _ in L.rules())
 
 
+def forms_of(parsed):
+    """Every string that a parsed pattern without unbounded repeats matches."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "IN":
+            some = [chr(c) for _, c in arg]
+        elif name == "BRANCH":
+            some = [x for branch in arg[1] for x in forms_of(branch)]
+        elif name == "SUBPATTERN":
+            some = forms_of(arg[-1])
+        elif name == "MAX_REPEAT":
+            assert arg[:2] == (0, 1)
+            some = ["", *forms_of(arg[2])]
+        else:
+            assert name == "ASSERT"
+            some = [" "]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_each_license_rule_implies_its_keyword():
+    for label, _, _, keyword, pattern in L.rules():
+        for line in forms_of(parser.parse(pattern)):
+            assert re.match(pattern, line) and keyword in line, (label, keyword, line)
+
+
+def test_license_names_and_codes_without_a_common_keyword(spark):
+    texts = {"SPDX-License-Identifier: MS-PL": "ms-pl", "SPDX-License-Identifier: GFDL-1.3": "gfdl",
+             "SPDX-License-Identifier: UPL-1.0": "upl-1", "SPDX-License-Identifier: MS-RL": "ms-rl",
+             "SPDX-License-Identifier: PSF-2.0": "python-2", "licensed under Creative Commons Attribution 4.0": "cc-by",
+             "licensed under CC BY 4.0": "cc-by"}
+    for r in L.scan(frame(spark, list(texts))).collect():
+        assert [d.label for d in r.detections] == [list(texts.values())[r.doc_id]]
+
+
+def test_license_scan_matches_rules_without_gates(spark, sf, docs, monkeypatch):
+    parts = [code for lic in L.LICENSES for code in (lic[3].split("(")[0].replace("[", "").replace("]", ""), lic[1])]
+    parts += ["SPDX-License-Identifier:"] * 30 + ["licensed under", "covered by", "governed by the", "available by", "the", "4.0",
+                                                  "Creative Commons Attribution", "Python Software Foundation", "license"] * 5
+    odd, rules = frame(spark, mixtures(parts, 600, 12, 9, " ")), [(*r[:3], "", r[4]) for r in L.rules()]
+    for df in (odd, docs):
+        with monkeypatch.context() as m:
+            m.setattr(L, "documents", lambda s, d, df=df: df)
+            got = Counter(tuple(r) for r in L.op5_licenses(spark, sf).collect())
+            m.setattr(L, "rules", lambda: rules)
+            assert got == Counter((r.doc_id, *license_brute(r.text)) for r in df.collect())
+
+
 # --- chat ---------------------------------------------------------------------------
 
 
