@@ -108,8 +108,8 @@ PASSAGES = (
 )
 
 #: A text without any of these stems cannot match a rule.
-STEMS = ("licen", " under ", "spdx", "hereby", "redistribut", "compliance", "with or without", "as is without",
-         "unencumbered", "public domain", "rights reserved", "cc by")
+STEMS = ("licen", " under ", " available by ", " covered by ", " governed by ", "spdx", "hereby", "redistribut",
+         "compliance", "with or without", "as is without", "unencumbered", "public domain", "rights reserved", "cc by")
 
 WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # runs between words (the text's case is still there)
 
