@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from .alignment import op11_alignment
 from .byte_gru import op8_language
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .hidden_markov import op13_hidden_markov
 from .licenses import op5_licenses
 from .nbsvm import op2_quality
 from .packing import op10_packing
+from .periodic_runs import op12_periodic_runs
 from .piece_codec import op4_sentencepiece
 from .pii import op6_pii
 from .probminhash import op9_near_dedup
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hidden_markov": op13_hidden_markov,
 }
 
 ORACLES = {
