@@ -6,12 +6,17 @@ cut nearest to its middle: starting from the middle token of the first side and
 going outwards, each token's end is looked for among the other side's ends by
 bisection.  Both halves are split the same way; an interval without a cut is a
 leaf, one group of the alignment.  The intervals of one depth, of all texts of
-a slice, are split together in numpy.
+a block, are split together in numpy.
+
+A blank between two characters that are none is a shared cut whatever stands
+around it: no token of either vocabulary crosses from another character into a
+blank.  So texts are first cut there, and each distinct stretch of a block (a
+word, mostly) is encoded and aligned once.
 
 Inside a group every token pair whose byte ranges overlap is a link.  A pair's
 count is how many links of the corpus hold it.  Counting works on blocks of
-texts: a task reduces the links of its block to distinct pairs and remembers
-which pair each link is; the pairs of all blocks are summed and joined back, so
+texts: a task keeps its block's distinct pairs, the pairs of each stretch and the
+stretches of each text; the pairs of all blocks are summed and joined back, so
 neither a link nor a pair table passes through the driver or a broadcast (only
 the highest count of each id of the second vocabulary does, one row an id).
 """
@@ -35,13 +40,13 @@ from ..session import cut_lineage
 from .common import documents, id_and_text, saved_table, small_arrow_batches, text_slices
 from .packed import pack_numbers, unpack_numbers
 
-SLICE_BYTES = 2 << 20  # text encoded at a time
-BLOCK_LINKS = 4_000_000  # links of a block (more only if one slice has more)
+BLOCK_BYTES = 6 << 20  # text of a block (more only if one text has more)
 ID_BITS = 32  # a pair is (first id << ID_BITS) | second id
 
 ALIGNED = ("doc_id long, a_ids array<int>, b_ids array<int>, a_lengths array<int>, b_lengths array<int>")
 BLOCKS = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
-          "n_links array<long>, groups_sha256 array<string>, pairs array<long>, times array<long>, which binary")
+          "n_links array<long>, groups_sha256 array<string>, n_stretches array<long>, stretches binary, "
+          "stretch_links array<long>, pairs array<long>, times array<long>, which binary")
 ANSWER = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
 
@@ -171,22 +176,33 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray) -> n
     return np.sort(np.concatenate(cuts))
 
 
+_BLANK = re.compile(r"(?<=\S) (?=\S)")
+_SPACES = re.compile(r"\s\s").search
+
+
+def stretches(text: str) -> list[str]:
+    """The text cut at blanks between other characters (which are left out)."""
+    if not text or text[0].isspace() or text[-1].isspace() or _SPACES(text):
+        return _BLANK.split(text)
+    return text.split(" ")
+
+
 class Alignment:
-    """Tokens, groups and links of a list of texts (``None`` and failing texts: no tokens)."""
+    """Tokens, groups and links of a list of stretches, each with a space before it.
+    Stretches that are not spelled by the tokens of both sides have none."""
 
     def __init__(self, texts: list[str], a: ByteLevel, b: Pieces):
-        texts = [t or "" for t in texts]
-        ids_a, ids_b = a.ids([" " + t if t else "" for t in texts]), b.ids(texts)
+        ids_a, ids_b = a.ids([" " + t for t in texts]), b.ids(texts)
         for i, t in enumerate(texts):
             whole = b" " + t.encode()
-            if not t or b"".join([a.bytes[x] for x in ids_a[i]]) != whole or b"".join([b.bytes[x] for x in ids_b[i]]) != whole:
+            if b"".join([a.bytes[x] for x in ids_a[i]]) != whole or b"".join([b.bytes[x] for x in ids_b[i]]) != whole:
                 ids_a[i], ids_b[i] = [], []
         self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
         self.a, self.b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
                           for ids, n in ((ids_a, self.n_a), (ids_b, self.n_b)))
         size_a, size_b = (np.array([len(x) for x in v.bytes], np.int64) for v in (a, b))
         self.ends_a, self.ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])
-        full = self.n_a > 0
+        full = self.n_a > 0  # a stretch and its space have a token of A, unless it failed
         last = np.cumsum(self.n_a)[full] - 1
         self.cut_a = shared_cuts(self.ends_a, self.ends_b, last)
         self.cut_b = np.searchsorted(self.ends_b, self.ends_a[self.cut_a])
@@ -245,23 +261,70 @@ def _vocabularies(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(a_path), Pieces(b_path)
 
 
-# --- the operator ----------------------------------------------------------------
+class Block:
+    """Texts (null: empty) as their stretches; those with a failing stretch, and empty ones, have no tokens."""
+
+    def __init__(self, texts: list[str | None], a: ByteLevel, b: Pieces):
+        cut = [stretches(t) if t else [] for t in texts]
+        coded = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+        self.code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.x = Alignment(coded.dictionary.to_pylist(), a, b)
+        self.size = np.array([len(c) for c in cut], np.int64)
+        failed = _sum_by(self._owner(), (self.x.n_a == 0).astype(np.int64)[self.code], len(texts)) > 0
+        self.code = self.code[np.repeat(~failed, self.size)]
+        self.size[failed] = 0
+        self.stretch_links = self.x.n_a + self.x.n_b - self.x.n_groups
+
+    def _owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.size)), self.size)
+
+    def total(self, of_stretch: np.ndarray) -> np.ndarray:
+        """Sum of a number of each stretch, by text."""
+        return _sum_by(self._owner(), of_stretch[self.code], len(self.size))
+
+    def lists(self, values: np.ndarray, n: np.ndarray) -> pa.Array:
+        """Each text's values; ``values`` holds those of the stretches end to end, ``n`` how many they are."""
+        place, _ = _ragged((np.cumsum(n) - n)[self.code], n[self.code])
+        offsets = np.concatenate([[0], np.cumsum(self.total(n))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[place].astype(np.int32)))
+
+    def digests(self, n_ids: int) -> list[str]:
+        """SHA-256 of each text's groups as written, '' without tokens."""
+        text = written(self.x, n_ids)
+        parts = list(map(text.__getitem__, self.code.tolist()))
+        end = np.cumsum(self.size).tolist()
+        return [hashlib.sha256(";".join(parts[i:j]).encode()).hexdigest() if j > i else ""
+                for i, j in zip([0, *end], end)]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """doc_ids and texts of about ``BLOCK_BYTES`` of text."""
+    doc_id, texts, size = [], [], 0
+    for batch in batches:
+        for s in text_slices(batch, BLOCK_BYTES):
+            doc_id += s.column("doc_id").to_pylist()
+            new = s.column("text").to_pylist()
+            texts += new
+            size += sum(map(len, new))
+            if size >= BLOCK_BYTES:
+                yield doc_id, texts
+                doc_id, texts, size = [], [], 0
+    if doc_id:
+        yield doc_id, texts
 
 
-def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+# --- the operator ----------------------------------------------------------------
 
 
 def _aligned(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = _vocabularies(a_path, b_path)
-    for batch in batches:
-        for s in text_slices(batch, SLICE_BYTES):
-            x = Alignment(s.column("text").to_pylist(), a, b)
-            size_a, size_b = x.group_sizes()
-            yield pa.RecordBatch.from_arrays(
-                [s.column("doc_id"), _lists(x.a, x.n_a), _lists(x.b, x.n_b), _lists(size_a, x.n_groups),
-                 _lists(size_b, x.n_groups)], ["doc_id", "a_ids", "b_ids", "a_lengths", "b_lengths"])
+    for doc_id, texts in _gathered(batches):
+        block = Block(texts, a, b)
+        x, (size_a, size_b) = block.x, block.x.group_sizes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc_id, pa.int64()), block.lists(x.a, x.n_a), block.lists(x.b, x.n_b),
+             block.lists(size_a, x.n_groups), block.lists(size_b, x.n_groups)],
+            ["doc_id", "a_ids", "b_ids", "a_lengths", "b_lengths"])
 
 
 def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -278,42 +341,30 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return id_and_text(docs).mapInArrow(functools.partial(_aligned, a_path, b_path), ALIGNED)
 
 
-def _block(number: int, slices: list[dict]) -> pa.RecordBatch:
-    """One row: its documents, its distinct pairs (the most frequent first) and the pair of every link."""
-    pair = np.concatenate([s["pair"] for s in slices])
-    which, distinct = pd.factorize(pair)
-    times = np.bincount(which, minlength=len(distinct))
+def _block_row(number: int, doc_id: list, block: Block, n_ids: int) -> pa.RecordBatch:
+    """A block with its distinct pairs, the most frequent first, and the pair of every stretch's links."""
+    x = block.x
+    id_a, id_b, stretch = x.links()
+    which, distinct = pd.factorize((id_a << ID_BITS) | id_b)
+    used = np.bincount(block.code, minlength=len(x.n_a))
+    times = np.bincount(which, weights=used[stretch], minlength=len(distinct)).astype(np.int64)
     order = np.argsort(-times, kind="stable")
     place = np.empty_like(order)
     place[order] = np.arange(len(order))
-    row = {"block": [number], "pairs": [distinct[order]], "times": [times[order]],
-           "which": [pack_numbers(place[which])]}
-    for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"):
-        row[c] = [[v for s in slices for v in s[c]]]
-    types = {"block": pa.int64(), "which": pa.binary(), "groups_sha256": pa.list_(pa.string())}
-    names = [c.split()[0] for c in BLOCKS.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(row[c], types.get(c, pa.list_(pa.int64()))) for c in names], names)
+    row = {"block": [number], "doc_id": [doc_id], "n_a": [block.total(x.n_a)], "n_b": [block.total(x.n_b)],
+           "n_groups": [block.total(x.n_groups)], "n_links": [block.total(block.stretch_links)],
+           "groups_sha256": [block.digests(n_ids)], "n_stretches": [block.size],
+           "stretches": [pack_numbers(block.code)], "stretch_links": [block.stretch_links],
+           "pairs": [distinct[order]], "times": [times[order]], "which": [pack_numbers(place[which])]}
+    types = {"block": pa.int64(), "which": pa.binary(), "stretches": pa.binary(), "groups_sha256": pa.list_(pa.string())}
+    return pa.RecordBatch.from_arrays([pa.array(v, types.get(c, pa.list_(pa.int64()))) for c, v in row.items()], list(row))
 
 
 def _blocks(a_path: str, b_path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = _vocabularies(a_path, b_path)
-    number, slices, waiting = TaskContext.get().partitionId() << 32, [], 0
-    n_ids = max(len(a.bytes), len(b.bytes))
-    for batch in batches:
-        for s in text_slices(batch, SLICE_BYTES):
-            x = Alignment(s.column("text").to_pylist(), a, b)
-            id_a, id_b, text = x.links()
-            slices.append({
-                "doc_id": s.column("doc_id").to_pylist(), "n_a": x.n_a.tolist(), "n_b": x.n_b.tolist(),
-                "n_groups": x.n_groups.tolist(), "n_links": np.bincount(text, minlength=len(x.n_a)).tolist(),
-                "groups_sha256": [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written(x, n_ids)],
-                "pair": (id_a << ID_BITS) | id_b})
-            waiting += len(id_a)
-            if waiting >= BLOCK_LINKS:
-                yield _block(number, slices)
-                number, slices, waiting = number + 1, [], 0
-    if slices:
-        yield _block(number, slices)
+    first, n_ids = TaskContext.get().partitionId() << 32, max(len(a.bytes), len(b.bytes))
+    for k, (doc_id, texts) in enumerate(_gathered(batches)):
+        yield _block_row(first + k, doc_id, Block(texts, a, b), n_ids)
 
 
 def _answer(blocks: pa.Table, counts: pa.Table) -> pa.Table:
@@ -322,10 +373,11 @@ def _answer(blocks: pa.Table, counts: pa.Table) -> pa.Table:
     count, best = (np.zeros(counts.num_rows, np.int64) for _ in range(2))
     place = counts["place"].to_numpy()
     count[place], best[place] = counts["count"].to_numpy(), counts["best"].to_numpy(zero_copy_only=False)
-    n_links = np.array(row["n_links"], np.int64)
-    which = unpack_numbers(row["which"], int(n_links.sum()))
-    text = np.repeat(np.arange(len(n_links)), n_links)
-    total = lambda v: [0] * len(n_links) if not len(which) else _sum_by(text, v[which], len(n_links))
+    links, size = np.array(row["stretch_links"], np.int64), np.array(row["n_stretches"], np.int64)
+    which = unpack_numbers(row["which"], int(links.sum()))
+    stretch, text = np.repeat(np.arange(len(links)), links), np.repeat(np.arange(len(size)), size)
+    code = unpack_numbers(row["stretches"], int(size.sum()))
+    total = lambda v: _sum_by(text, _sum_by(stretch, v[which], len(links))[code], len(size))
     out = {c: row[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
     out |= {"n_best": total(best), "count_sum": total(count)}
     columns = {c: pa.array(v, pa.int64()) for c, v in out.items()}
@@ -342,7 +394,7 @@ def _sum_by(group: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """pair, count, best: the corpus-wide count of each linked id pair, and
     whether no other pair of its second id has a higher one."""
-    pairs = blocks.select(F.inline(F.arrays_zip("pairs", "times"))).withColumnsRenamed({"pairs": "pair"})
+    pairs = blocks.select(F.inline(F.arrays_zip("pairs", "times"))).toDF("pair", "times").filter("times > 0")
     counts = cut_lineage(pairs.groupBy("pair").agg(F.sum("times").alias("count")))
     second = F.col("pair").bitwiseAND((1 << ID_BITS) - 1)
     top = counts.groupBy(second.alias("second")).agg(F.max("count").alias("top"))  # a row per id of a vocabulary
@@ -360,7 +412,8 @@ def alignment_counts(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     small_arrow_batches(docs.sparkSession)
     blocks = saved_table(id_and_text(docs).mapInArrow(functools.partial(_blocks, a_path, b_path), BLOCKS))
     places = blocks.select(F.col("block").alias("of_block"), F.posexplode("pairs").alias("place", "pair"))
-    counts = places.join(pair_counts(blocks), "pair").select("of_block", "place", "count", "best")
+    counts = places.join(pair_counts(blocks), "pair", "left").select(  # left: pairs of failing texts only
+        "of_block", "place", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce("best", F.lit(False)).alias("best"))
     return (
         blocks.drop("pairs", "times").groupBy("block").cogroup(counts.groupBy("of_block"))
         .applyInArrow(_answer, ANSWER)

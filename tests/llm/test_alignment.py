@@ -133,14 +133,19 @@ def test_edge_rows_match_brute_force_in_any_partitioning(spark, edge, nothing, b
     assert A.align_documents(nothing, BYTES, PIECES).count() == 0
 
 
+def test_stretches_are_the_text_without_inner_blanks():
+    for t in [x for x in ODD if x] + mixtures(500, 3):
+        parts = A.stretches(t)
+        assert " ".join(parts) == t
+        assert all(parts[i][-1:].strip() and parts[i + 1][:1].strip() for i in range(len(parts) - 1))
+
+
 def test_small_blocks_give_the_same(spark, docs, brute, monkeypatch):
-    part = docs.limit(20).collect()
-    texts = [r.text for r in part]
+    texts = [r.text for r in docs.limit(20).collect()] + ODD
     a, b = A._vocabularies(BYTES, PIECES)
-    whole = A.Alignment(texts, a, b)
-    one = [A.Alignment([t], a, b) for t in texts]
-    assert np.array_equal(whole.n_groups, np.concatenate([x.n_groups for x in one]))
-    assert [np.concatenate(v).tolist() for v in zip(*(x.links()[:2] for x in one))] == [v.tolist() for v in whole.links()[:2]]
+    whole, one = A.Block(texts, a, b), [A.Block([t], a, b) for t in texts]
+    assert whole.digests(51_000) == [x.digests(51_000)[0] for x in one]
+    assert whole.total(whole.stretch_links).tolist() == [int(x.total(x.stretch_links)[0]) for x in one]
 
 
 def test_packed_numbers_come_back():
