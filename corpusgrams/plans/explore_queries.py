@@ -339,9 +339,11 @@ def positional_word_counts(spark, sf):
 @query(
     "source_vs_others",
     f"WITH {TOK_CTE}, c AS (SELECT \"from\", word, count(*) AS n FROM tok GROUP BY ALL), "
-    f"p AS (SELECT \"from\", word, n / sum(n) OVER (PARTITION BY \"from\") AS proportion FROM c) "
+    f"p AS (SELECT \"from\", word, n / sum(n) OVER (PARTITION BY \"from\") AS proportion FROM c), "
+    f"b AS MATERIALIZED (SELECT word, proportion FROM p WHERE \"from\" = {S.q(BASE_SOURCE)}), "
+    f"o AS MATERIALIZED (SELECT * FROM p WHERE \"from\" <> {S.q(BASE_SOURCE)}) "
     f"SELECT o.word, {R10('b.proportion')} AS base, o.\"from\" AS origin, {R10('o.proportion')} AS proportion "
-    f"FROM p o LEFT JOIN p b ON b.word = o.word AND b.\"from\" = {S.q(BASE_SOURCE)} WHERE o.\"from\" <> {S.q(BASE_SOURCE)}",
+    f"FROM o LEFT JOIN b USING (word)",
 )
 def source_vs_others(spark, sf):
     c = A.source_against_others(tok_corpora(spark, sf), "from", "word", BASE_SOURCE)

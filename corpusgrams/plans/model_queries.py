@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import model as M
+from ..operators import prefilter as PF
 from ..operators import tokenize as tk
 from ..session import cut_lineage
 from ..sources import corpus as src
@@ -36,6 +37,11 @@ def counts(spark, sf, shared=True, max_order=5):
     return cut_lineage(c) if shared else c
 
 
+def asked_counts(spark, sf, grams):
+    """Counts of the grams and of their last words, written once (two branches read them)."""
+    return cut_lineage(PF.counts_for_grams(src.corpus_lines(spark, sf), grams, [1, 2, 3, 4, 5]))
+
+
 def phrases(spark, sf):
     return src.spread(src.user_phrases(src.table(spark, sf, "conversations")), src.spread_setting(spark), "conv_id", "turn")
 
@@ -112,9 +118,12 @@ def load_corpus_capped(spark, sf):
 def _register_endcounted(k: int, name: str):
     @query(
         f"endcounted_{name}",
-        W(MODEL) + "SELECT c.ends, c.\"order\", c.begins, c.ngram_count, u.ngram_count AS end_count, "
-        + R10("c.ngram_count / u.ngram_count") + " AS MLE FROM counts c JOIN counts u ON u.\"order\" = 1 "
-        f"AND u.ends = c.ends WHERE c.\"order\" = {k}",
+        W(S.corpus_ctes(with_grams=None), S.grams_cte(min_order=1, max_order=1, name="g1"),
+          S.grams_cte(min_order=k, max_order=k, name="gk"),
+          "u AS MATERIALIZED (SELECT ends, count(*) AS end_count FROM g1 GROUP BY ALL)",
+          "c AS MATERIALIZED (SELECT \"order\", begins, ends, count(*) AS ngram_count FROM gk GROUP BY ALL)")
+        + "SELECT c.ends, c.\"order\", c.begins, c.ngram_count, u.end_count, "
+        + R10("c.ngram_count / u.end_count") + " AS MLE FROM c JOIN u USING (ends)",
     )
     def _q(spark, sf):
         # orders 1 and k in one pass, written once, read by both join sides
@@ -209,29 +218,37 @@ def parse_gram_q(spark, sf):
 # Language-model queries
 # ---------------------------------------------------------------------------
 ODDS_SQL = (
-    "SELECT e.item_id, e.sent_no, e.pos, e.\"order\", e.begins, e.ends, c.ngram_count, u.ngram_count AS prefix_count, "
-    + R10("ln(c.ngram_count / u.ngram_count)") + " AS odds FROM egrams e JOIN counts c USING (\"order\", begins, ends) "
-    "JOIN counts u ON u.\"order\" = 1 AND u.ends = e.ends"
+    "SELECT e.item_id, e.sent_no, e.pos, e.\"order\", e.begins, e.ends, c.ngram_count, u.prefix_count, "
+    + R10("ln(c.ngram_count / u.prefix_count)") + " AS odds FROM e JOIN c USING (\"order\", begins, ends) "
+    "JOIN u USING (ends)"
+)
+# each side of the join by itself: the asked grams, their counts, the counts of their last words
+ODDS_CTES = (
+    "e AS MATERIALIZED (SELECT * FROM egrams), k AS MATERIALIZED (SELECT DISTINCT \"order\", begins, ends FROM egrams), "
+    "c AS MATERIALIZED (SELECT g.\"order\", g.begins, g.ends, count(*) AS ngram_count FROM grams g "
+    "SEMI JOIN k USING (\"order\", begins, ends) GROUP BY ALL), "
+    "u AS MATERIALIZED (SELECT ends, count(*) AS prefix_count FROM grams WHERE \"order\" = 1 GROUP BY ALL)"
 )
+GRAMS = S.corpus_ctes()
 
 
-@query("odds_of", W(MODEL, BENCH_CTE) + ODDS_SQL)
+@query("odds_of", W(GRAMS, BENCH_CTE, ODDS_CTES) + ODDS_SQL)
 def odds_of_q(spark, sf):
-    # not shared: the aggregate's own hash partitioning on (order, begins,
-    # ends) serves the join directly (measured faster than a checkpoint)
-    o = M.odds_of(eval_grams(spark, sf), counts(spark, sf, shared=False))
+    g = eval_grams(spark, sf)
+    o = M.odds_of(g, asked_counts(spark, sf, g))
     return o.select("item_id", "sent_no", "pos", "order", "begins", "ends", "ngram_count", "prefix_count",
                     r10(F.col("odds")).alias("odds"))
 
 
 @query(
     "perplexity",
-    W(MODEL, BENCH_CTE) + "SELECT item_id, count(*) AS n, " + R10("exp(-avg(ln(c.ngram_count / u.ngram_count)))")
-    + " AS perplexity FROM egrams e JOIN counts c USING (\"order\", begins, ends) "
-    "JOIN counts u ON u.\"order\" = 1 AND u.ends = e.ends GROUP BY item_id",
+    W(GRAMS, BENCH_CTE, ODDS_CTES) + "SELECT item_id, count(*) AS n, "
+    + R10("exp(-avg(ln(c.ngram_count / u.prefix_count)))")
+    + " AS perplexity FROM e JOIN c USING (\"order\", begins, ends) JOIN u USING (ends) GROUP BY item_id",
 )
 def perplexity_q(spark, sf):
-    p = M.perplexity(M.odds_of(eval_grams(spark, sf), counts(spark, sf, shared=False)), list(KEYB))
+    g = eval_grams(spark, sf)
+    p = M.perplexity(M.odds_of(g, asked_counts(spark, sf, g)), list(KEYB))
     return p.withColumn("perplexity", r10(F.col("perplexity")))
 
 
@@ -244,7 +261,9 @@ def perplexity_q(spark, sf):
     + f"SELECT conv_id, turn, \"order\", begins, ends, ngram_count FROM r WHERE rk <= {MAXOPTS}",
 )
 def next_options_q(spark, sf):
-    return M.next_options(user_grams(spark, sf), counts(spark, sf, shared=False), list(KEYP), MAXOPTS)
+    g = user_grams(spark, sf)
+    c = PF.counts_of_contexts(src.corpus_lines(spark, sf), g.filter(F.col("order") >= 2), [2, 3, 4, 5])
+    return M.next_options(g, c, list(KEYP), MAXOPTS)
 
 
 @query(
@@ -254,7 +273,10 @@ def next_options_q(spark, sf):
     "JOIN counts c ON c.\"order\" = g.\"order\" + 1 AND c.begins = g.begins || ' ' || g.ends",
 )
 def next_matches_q(spark, sf):
-    return M.next_matches(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"])
+    g = user_grams(spark, sf)
+    ctx = g.select((F.col("order") + 1).alias("order"), F.concat_ws(" ", "begins", "ends").alias("begins"))
+    c = PF.counts_of_contexts(src.corpus_lines(spark, sf), ctx, [2, 3, 4, 5])
+    return M.next_matches(g, c, [*KEYP, "sentence_id"])
 
 
 @query(
@@ -265,7 +287,10 @@ def next_matches_q(spark, sf):
     + "SELECT m.*, CAST(row_number() OVER (PARTITION BY conv_id, turn, sentence_id ORDER BY \"order\" DESC, ngram_count DESC, ends) AS INTEGER) AS rank FROM m",
 )
 def next_word_backoff_q(spark, sf):
-    return M.next_word_backoff(user_grams(spark, sf), counts(spark, sf, shared=False), [*KEYP, "sentence_id"])
+    g = user_grams(spark, sf)
+    ctx = g.select((F.col("order") + 1).alias("order"), PF.whole_gram().alias("begins"))
+    c = PF.counts_of_contexts(src.corpus_lines(spark, sf), ctx, [2, 3, 4, 5])
+    return M.next_word_backoff(g, c, [*KEYP, "sentence_id"])
 
 
 @query(
@@ -277,7 +302,9 @@ def next_word_backoff_q(spark, sf):
     "FROM pc JOIN counts c USING (\"order\", begins)",
 )
 def eval_continuations_q(spark, sf):
-    e = M.eval_continuations(eval_grams(spark, sf), counts(spark, sf), list(KEYB))
+    g = eval_grams(spark, sf)
+    c = cut_lineage(PF.counts_of_contexts(src.corpus_lines(spark, sf), g, [1, 2, 3, 4, 5]))
+    e = M.eval_continuations(g, c, list(KEYB))
     return e.withColumn("prefix_count", F.col("prefix_count").cast("bigint"))
 
 
@@ -288,7 +315,8 @@ FULL_MATCH_SQL = (
 
 @query("full_matches", W(MODEL, BENCH_CTE, FULL_MATCH_SQL) + "SELECT * FROM fm")
 def full_matches_q(spark, sf):
-    return M.full_matches(counts(spark, sf, shared=False), eval_grams(spark, sf))
+    g = eval_grams(spark, sf)
+    return M.full_matches(PF.counts_for_matches(src.corpus_lines(spark, sf), g, [2, 3, 4, 5]), g)
 
 
 @query(
@@ -306,13 +334,19 @@ def begin_counts_q(spark, sf):
 
 @query(
     "prefix_counts",
-    W(MODEL, BENCH_CTE, FULL_MATCH_SQL,
-      "lo AS (SELECT \"order\" + 1 AS \"order\", CASE WHEN \"order\" = 1 THEN ends ELSE begins || ' ' || ends END AS begins, "
-      "ngram_count AS prefix_count FROM counts)")
-    + "SELECT fm.*, lo.prefix_count FROM fm JOIN lo USING (\"order\", begins) WHERE fm.\"order\" >= 2",
+    W(GRAMS, BENCH_CTE,
+      "eb AS MATERIALIZED (SELECT DISTINCT begins FROM egrams), ee AS MATERIALIZED (SELECT DISTINCT ends FROM egrams)",
+      "fm AS MATERIALIZED (SELECT \"order\", g.begins, g.ends, count(*) AS ngram_count FROM grams g SEMI JOIN eb USING (begins) "
+      "SEMI JOIN ee USING (ends) WHERE \"order\" > 1 GROUP BY ALL)",
+      "lw AS (SELECT \"order\" + 1 AS \"order\", CASE WHEN \"order\" = 1 THEN ends ELSE begins || ' ' || ends END AS begins "
+      "FROM grams WHERE \"order\" < 5)",
+      "lo AS MATERIALIZED (SELECT \"order\", lw.begins, count(*) AS prefix_count FROM lw SEMI JOIN eb USING (begins) GROUP BY ALL)")
+    + "SELECT fm.*, lo.prefix_count FROM fm JOIN lo USING (\"order\", begins)",
 )
 def prefix_counts_q(spark, sf):
-    return M.prefix_counts(counts(spark, sf), eval_grams(spark, sf))
+    g = eval_grams(spark, sf)
+    c = cut_lineage(PF.counts_for_matches(src.corpus_lines(spark, sf), g, [1, 2, 3, 4, 5], prefixes=True))
+    return M.prefix_counts(c, g)
 
 
 @query(
@@ -334,22 +368,28 @@ def odds_of_phrases_q(spark, sf):
     p = phrases(spark, sf)
     w = p.select(*KEYP, T.words(F.col("text")).alias("ws"))
     g = w.select(*KEYP, F.inline(tk.suffix_grams(F.col("ws"), 4)))
-    o = M.odds_of_phrases(g, counts(spark, sf), list(KEYP))
+    o = M.odds_of_phrases(g, counts(spark, sf, max_order=4), list(KEYP))
     return o.select(*KEYP, "order", "ngram", "prefix", "ngram_count",
                     F.col("prefix_count").cast("bigint").alias("prefix_count"), r10(F.col("odds")).alias("odds"))
 
 
 @query(
     "phrase_lookup",
-    W(MODEL,
+    W(S.corpus_ctes(with_grams=(1, 2)),
       f"p AS (SELECT conv_id, turn, {S.words_sql('text')} AS ws FROM conversations WHERE role = 'user')",
-      "q AS (SELECT conv_id, turn, ws[len(ws) - 1] AS prefix, ws[len(ws)] AS e FROM p WHERE len(ws) >= 2)")
+      "q AS (SELECT conv_id, turn, ws[len(ws) - 1] AS prefix, ws[len(ws)] AS e FROM p WHERE len(ws) >= 2)",
+      "b AS MATERIALIZED (SELECT begins AS prefix, ends AS e, count(*) AS ngram_count FROM grams WHERE \"order\" = 2 GROUP BY ALL)",
+      "u AS MATERIALIZED (SELECT ends AS prefix, count(*) AS ngram_count FROM grams WHERE \"order\" = 1 GROUP BY ALL)")
     + "SELECT q.conv_id, q.turn, q.prefix || ' ' || q.e AS ngram, q.prefix, b.ngram_count, u.ngram_count AS prefix_count "
-    "FROM q LEFT JOIN counts b ON b.\"order\" = 2 AND b.begins = q.prefix AND b.ends = q.e "
-    "LEFT JOIN counts u ON u.\"order\" = 1 AND u.ends = q.prefix",
+    "FROM q LEFT JOIN b ON b.prefix = q.prefix AND b.e = q.e LEFT JOIN u ON u.prefix = q.prefix",
 )
 def phrase_lookup_q(spark, sf):
-    return M.phrase_lookup(phrases(spark, sf), counts(spark, sf), list(KEYP))
+    p = phrases(spark, sf)
+    last = F.slice(T.words(F.col("text")), -2, 2)
+    wanted = p.select(last.alias("w")).filter(F.size("w") == 2).select(
+        F.explode(F.array(F.array_join("w", " "), F.element_at("w", 1))).alias("s"))
+    c = cut_lineage(PF.counts_of_strings(src.corpus_lines(spark, sf), wanted, [1, 2]))
+    return M.phrase_lookup(p, c, list(KEYP))
 
 
 # ---------------------------------------------------------------------------
@@ -360,7 +400,7 @@ VOCAB_SQL = "vocab AS (SELECT ends AS ngram, row_number() OVER (ORDER BY ends) A
 
 @query("vocabulary", W(MODEL, VOCAB_SQL) + "SELECT ngram, wid FROM vocab")
 def vocabulary_q(spark, sf):
-    return M.vocabulary(counts(spark, sf, shared=False))
+    return M.vocabulary(counts(spark, sf, shared=False, max_order=1))
 
 
 @query(
@@ -449,4 +489,4 @@ def trim_unk_q(spark, sf):
     + "SELECT CAST(f.fraction AS DOUBLE) AS fraction, min(rank) AS n_words FROM c, f WHERE cum >= f.fraction * tot GROUP BY ALL",
 )
 def coverage_q(spark, sf):
-    return M.coverage(counts(spark, sf))
+    return M.coverage(counts(spark, sf, shared=False, max_order=1))
