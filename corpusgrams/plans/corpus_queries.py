@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import ranking, tokenize as tk
 from ..sources import corpus as src
+from ..sources import textlines
 from . import sqltext as S
 from .registry import query
 
@@ -28,6 +29,24 @@ def read_lines(spark, sf):
     return lines(spark, sf).select("doc_id", "line_no", "file", "text")
 
 
+# --- S1 on text files: line numbers from splits --------------------------------
+@query(
+    "text_file_lines",
+    f"WITH {S.lines_cte()} SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY doc_id, line_no) - 1 AS BIGINT) "
+    f"AS line_no, text FROM doc_lines WHERE file IS NOT NULL",
+)
+def text_file_lines(spark, sf):
+    """``documents`` written as text files and read again, numbered."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark)}/text-{uuid.uuid4().hex}"
+    textlines.write_lines(lines(spark, sf).filter("file IS NOT NULL"), path, ["doc_id", "line_no"])
+    folder = r"url_decode(regexp_extract(_path, '/file=([^/]*)/', 1))"
+    return textlines.number_lines(spark, path, "*.txt", "\n", whole_file=folder)
+
+
 # --- T1 / T2 sentences -------------------------------------------------------
 @query(
     "sentences",

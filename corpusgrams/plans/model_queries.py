@@ -8,8 +8,10 @@ from ..functions import text as T
 from ..operators import model as M
 from ..operators import prefilter as PF
 from ..operators import tokenize as tk
+from ..operators import trie
 from ..session import cut_lineage
 from ..sources import corpus as src
+from ..sources import keyed
 from . import sqltext as S
 from .registry import query
 
@@ -293,6 +295,24 @@ def next_word_backoff_q(spark, sf):
     return M.next_word_backoff(g, c, [*KEYP, "sentence_id"])
 
 
+NEXT_K = 5
+
+
+@query(
+    "stored_next_words",
+    W(MODEL, PHRASE_CTE,
+      "m AS (SELECT g.conv_id, g.turn, g.sentence_id, c.\"order\", c.begins, c.ends, c.ngram_count FROM ugrams g "
+      "JOIN counts c ON c.\"order\" = g.\"order\" + 1 AND c.begins = CASE WHEN g.\"order\" = 1 THEN g.ends ELSE g.begins || ' ' || g.ends END)",
+      "x AS (SELECT conv_id, turn, sentence_id, max(\"order\") AS \"order\" FROM m GROUP BY ALL)",
+      "r AS (SELECT m.*, CAST(row_number() OVER (PARTITION BY conv_id, turn, sentence_id ORDER BY ngram_count DESC, ends) AS INTEGER) AS rank "
+      "FROM m SEMI JOIN x USING (conv_id, turn, sentence_id, \"order\"))")
+    + f"SELECT * FROM r WHERE rank <= {NEXT_K}",
+)
+def stored_next_words_q(spark, sf):
+    model = keyed.store_in_shared_folder(counts(spark, sf, shared=False))
+    return keyed.stored_next_words(user_grams(spark, sf), model, [*KEYP, "sentence_id"], NEXT_K)
+
+
 @query(
     "eval_continuations",
     W(MODEL, BENCH_CTE,
@@ -460,7 +480,45 @@ def _words_sql(src_: str) -> str:
 )
 def encoded_model_q(spark, sf):
     c = counts(spark, sf)
-    return M.encode_ngrams(c, M.vocabulary(c))
+    return trie.encoded(c, cut_lineage(M.vocabulary(c)))
+
+
+TRIE_SQL = (
+    _words_sql("counts") + ", "
+    "e AS (SELECT \"order\", begins, ends, ngram_count, list(v.wid ORDER BY wpos) AS ws FROM ex JOIN vocab v ON v.ngram = ex.word GROUP BY ALL), "
+    "t AS MATERIALIZED (SELECT \"order\", begins, ends, ngram_count, ws, row_number() OVER (ORDER BY \"order\", ws) AS node FROM e)"
+)
+
+
+@query(
+    "trie_model",
+    W(MODEL, VOCAB_SQL, TRIE_SQL)
+    + "SELECT t.\"order\", t.node, coalesce(p.node, 0) AS parent, t.ws[len(t.ws)] AS word, coalesce(s.node, 0) AS suffix, t.ngram_count "
+    "FROM t LEFT JOIN t p ON p.ws = t.ws[1:len(t.ws) - 1] LEFT JOIN t s ON s.ws = t.ws[2:len(t.ws)]",
+)
+def trie_model_q(spark, sf):
+    c = counts(spark, sf)
+    return trie.build_trie(c, cut_lineage(M.vocabulary(c)))
+
+
+@query(
+    "longest_context",
+    W(MODEL, VOCAB_SQL, PHRASE_CTE, TRIE_SQL,
+      "k AS (SELECT u.conv_id, u.turn, u.sentence_id, u.\"order\", t.node FROM ugrams u LEFT JOIN t USING (\"order\", begins, ends))")
+    + "SELECT conv_id, turn, sentence_id, coalesce(max(\"order\") FILTER (node IS NOT NULL), 0) AS \"order\", "
+    "coalesce(arg_max(node, \"order\") FILTER (node IS NOT NULL), 0) AS node FROM k GROUP BY conv_id, turn, sentence_id",
+)
+def longest_context_q(spark, sf):
+    c = counts(spark, sf)
+    vocab = cut_lineage(M.vocabulary(c))
+    key = [*KEYP, "sentence_id"]
+    # the last words of each sentence (5 at most), and their ids
+    g = user_grams(spark, sf)
+    words = F.when(F.col("order") == 1, F.array("ends")).otherwise(F.concat(F.split("begins", " "), F.array("ends")))
+    last = g.groupBy(*key).agg(F.max_by(words, "order").alias("ws"))
+    each = last.select(*key, F.posexplode("ws").alias("at", "ngram")).join(vocab, "ngram", "left")
+    ids = each.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("at", F.col("wid").cast("bigint").alias("wid")))).alias("w"))
+    return trie.longest_nodes(cut_lineage(trie.build_trie(c, vocab)), ids.select(*key, F.transform("w", lambda x: x["wid"]).alias("ids")), key)
 
 
 @query(

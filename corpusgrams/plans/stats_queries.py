@@ -155,8 +155,7 @@ def train_katz(spark, sf):
                     r10(F.col("P_katz")).alias("P_katz"))
 
 
-@query(
-    "katz_alpha",
+ALPHA_SQL = (
     W(MODEL, TRAIN_KATZ_SQL,
       "t2 AS (SELECT * FROM tk WHERE \"order\" > 1)",
       "p AS (SELECT t2.*, " + DIV("C_katz", "sum(ngram_count) OVER (PARTITION BY \"order\", begins)") + " AS p_star FROM t2)",
@@ -165,12 +164,24 @@ def train_katz(spark, sf):
       "p3 AS (SELECT p.\"order\", p.begins, p.p_star, l.p_star AS p_low FROM p LEFT JOIN p l ON l.\"order\" = p.\"order\" - 1 "
       "AND l.begins = regexp_replace(p.begins, '^[^ ]+ ', '') AND l.ends = p.ends WHERE p.\"order\" > 2)",
       "s AS (SELECT \"order\", begins, sum(p_star) AS num, sum(p_low) AS den FROM (SELECT * FROM p2 UNION ALL SELECT * FROM p3) GROUP BY ALL)")
-    + f"SELECT \"order\", begins, {R10(DIV('1 - num', '1 - den'))} AS alpha FROM s",
+    + f"SELECT \"order\", begins, {R10(DIV('1 - num', '1 - den'))} AS alpha FROM s"
 )
+
+
+@query("katz_alpha", ALPHA_SQL)
 def katz_alpha(spark, sf):
     return K.katz_alpha(counts(spark, sf), KATZ_K).withColumn("alpha", r10(F.col("alpha")))
 
 
+@query("katz_alpha_links", ALPHA_SQL)
+def katz_alpha_links(spark, sf):
+    from ..operators import model as M
+
+    c = counts(spark, sf)
+    a = K.katz_alpha_by_links(c, cut_lineage(M.vocabulary(c)), 5, KATZ_K)
+    return a.withColumn("alpha", r10(F.col("alpha")))
+
+
 # ---------------------------------------------------------------------------
 # P1-P7 sampling / splits, S9 chunk counts, T9
 # ---------------------------------------------------------------------------
