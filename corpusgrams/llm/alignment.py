@@ -40,7 +40,7 @@ from ..session import cut_lineage
 from .common import documents, id_and_text, saved_table, small_arrow_batches, text_slices
 from .packed import pack_numbers, unpack_numbers
 
-BLOCK_BYTES = 6 << 20  # text of a block (more only if one text has more)
+BLOCK_BYTES = 4 << 20  # text of a block (more only if one text has more)
 ID_BITS = 32  # a pair is (first id << ID_BITS) | second id
 
 ALIGNED = ("doc_id long, a_ids array<int>, b_ids array<int>, a_lengths array<int>, b_lengths array<int>")
