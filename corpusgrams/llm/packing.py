@@ -16,6 +16,7 @@ or ``MEET_TASKS`` windows.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -153,14 +154,18 @@ class WordTokens:
     The tokenizer splits at white space before anything else, so a text's ids
     are its words' ids in order; each distinct word is encoded once.  Words of
     Latin-1 characters are split further, by the tokenizer's own pattern, into
-    runs that many words share."""
+    runs that many words share.  A word that holds an added token's string is
+    left to the library, which gives that token's id."""
 
     def __init__(self, path: str):
         import regex
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        if any(len(t.split()) != 1 for t in added):
+            raise ValueError("an added token holds white space")
+        self.control = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
         self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.latin = regex.compile("[!-~À-ÿ]+").fullmatch
         vocabulary = self.library.get_vocab()
@@ -194,7 +199,7 @@ class WordTokens:
 
     def _split(self, w: bytes) -> list[bytes] | None:
         """The runs of a word; None if only the library can tell."""
-        if len(w) > 64:
+        if len(w) > 64 or self.control(w):
             return None
         if w.isalpha():  # ASCII letters
             return [w.lower()]

@@ -326,13 +326,15 @@ def test_op4_digests(spark, sf, docs):
 
 @pytest.fixture(scope="module")
 def library():
-    t = tokenizers.Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return tokenizers.Tokenizer.from_file(WORDS)
+
+
+CONTROL_TEXTS = mixtures(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", " ", "a", "é", "日",
+                          "̀", "'s", "\n", "1", "İ"], 800, 14, 2)
 
 
 def test_word_ids_equal_the_library(library, docs):
-    texts = ODD_TEXTS + [r.text for r in docs.select("text").limit(60).collect()]
+    texts = ODD_TEXTS + CONTROL_TEXTS + [r.text for r in docs.select("text").limit(60).collect()]
     got = [np.frombuffer(x, "<u4").tolist() for x in K.WordTokens(WORDS).ids(texts)]
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
