@@ -148,14 +148,17 @@ class Memory(dict):
         return new
 
 
+SEPARATOR = b"\xff" * 4  # no id: the two upper bytes of one are 0
+
+
 class WordTokens:
     """Ids of texts by the tokenizers library, word by word.
 
     The tokenizer splits at white space before anything else, so a text's ids
     are its words' ids in order; each distinct word is encoded once.  Words of
     Latin-1 characters are split further, by the tokenizer's own pattern, into
-    runs that many words share.  A word that holds an added token's string is
-    left to the library, which gives that token's id."""
+    runs that many words share.  Others, and those that hold an added token's
+    string (which gets that token's id), are left to the library whole."""
 
     def __init__(self, path: str):
         import regex
@@ -165,12 +168,15 @@ class WordTokens:
         added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         if any(len(t.split()) != 1 for t in added):
             raise ValueError("an added token holds white space")
-        self.control = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").search
-        self.runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.latin = regex.compile("[!-~À-ÿ]+").fullmatch
+        self.control = re.compile(b"|".join(map(re.escape, added)) or b"(?!)").finditer
+        self.runs = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n").findall
+        self.latin_runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n").findall
+        self.latin = re.compile("[!-~À-ÿ]+").fullmatch
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        if len(self.ends) > 1 << 16:
+            raise ValueError("ids of more than 16 bits")
         self.words: dict[bytes, bytes] = Memory()
         self.parts: dict[bytes, bytes] = Memory()
 
@@ -180,7 +186,8 @@ class WordTokens:
         out: list[bytes] = []
         for at in range(0, len(runs), 1000):
             part = runs[at:at + 1000]
-            ids = np.array(self.library.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            encoded = self.library.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            ids = np.array(encoded[0].ids, "<u4")
             cut = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(cut) != len(part):
                 raise ValueError("the tokenizer does not mark the ends of runs")
@@ -188,33 +195,44 @@ class WordTokens:
             out += [packed[a:b] for a, b in zip([0, *cut], cut)]
         return out
 
-    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+    def _whole_ids(self, words: list[bytes]) -> list[bytes]:
         """Words of any characters, whole."""
-        if not words:
-            return []
         e = self.library.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
         packed = np.array(e.ids, "<u4").tobytes()
         cut = (np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(words) + 1)) * 4).tolist()
         return [packed[a:b] for a, b in zip(cut, cut[1:])]
 
-    def _split(self, w: bytes) -> list[bytes] | None:
-        """The runs of a word; None if only the library can tell."""
-        if len(w) > 64 or self.control(w):
-            return None
-        if w.isalpha():  # ASCII letters
-            return [w.lower()]
-        text = w.decode()
-        return [r.encode() for r in self.runs(text.lower())] if self.latin(text) else None
+    def _joined_ids(self, words: list[bytes], ascii_only: bool) -> list[bytes]:
+        """Words of printable Latin-1: their runs are found in all of them at once."""
+        joined = b"\n".join(words)
+        if ascii_only:
+            runs = self.runs(joined.lower())
+        else:
+            runs = [r.encode() for r in self.latin_runs(joined.decode().lower())]
+        new = self.parts.missing(set(runs) - {b"\n"})
+        self.parts.update(zip(new, self._run_ids(new)))
+        self.parts[b"\n"] = SEPARATOR
+        return b"".join(map(self.parts.__getitem__, runs)).split(SEPARATOR)
 
     def learn(self, wanted: set[bytes]) -> None:
         new = self.words.missing(wanted)
-        split = [self._split(w) for w in new]
-        parts = self.parts.missing({p for x in split if x is not None for p in x})
-        self.parts.update(zip(parts, self._run_ids(parts)))
-        known = self.parts.__getitem__
-        self.words.update((w, b"".join(map(known, x))) for w, x in zip(new, split) if x is not None)
-        odd = [w for w, x in zip(new, split) if x is None]
-        self.words.update(zip(odd, self._word_ids(odd)))
+        if not new:
+            return
+        joined = b"\n".join(new)
+        characters = np.frombuffer(joined, np.uint8)
+        ends = np.append(np.flatnonzero(characters == 10), len(joined))
+        odd = np.diff(ends, prepend=-1) > 65  # 64 bytes and the line feed
+        strange = np.flatnonzero(((characters < 33) & (characters != 10)) | (characters > 126))
+        odd[np.searchsorted(ends, strange)] = True
+        odd[np.searchsorted(ends, [m.start() for m in self.control(joined)])] = True
+        groups = {"plain": [new[i] for i in np.flatnonzero(~odd).tolist()], "latin": [], "whole": []}
+        for w in (new[i] for i in np.flatnonzero(odd).tolist()):
+            latin = len(w) <= 64 and self.latin(w.decode()) and not next(self.control(w), None)
+            groups["latin" if latin else "whole"].append(w)
+        for kind, words in groups.items():
+            if words:
+                self.words.update(zip(words, self._whole_ids(words) if kind == "whole" else
+                                      self._joined_ids(words, kind == "plain")))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 4-byte integers."""
