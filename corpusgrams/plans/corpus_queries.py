@@ -156,3 +156,18 @@ def append_counts(spark, sf):
     # a query starts from nothing each time; a running service keeps its folders
     base = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
     return run_incremental_counts(spark, sf, f"{base}/partial", f"{base}/stream", "documents.parquet")
+
+
+# --- S12 running maximum (Structured Streaming, state store) --
+@query(
+    "longest_line_running",
+    f"WITH {S.lines_cte()} SELECT file, CAST(max(length(text)) AS INTEGER) AS max_chars FROM doc_lines GROUP BY file",
+)
+def longest_line_running(spark, sf):
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.incremental import run_longest_lines
+
+    base = f"{ensure_checkpoint_dir(spark)}/longest-{uuid.uuid4().hex}"
+    return run_longest_lines(spark, sf, f"{base}/raised", f"{base}/stream", "documents.parquet")

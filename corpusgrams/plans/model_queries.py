@@ -423,6 +423,17 @@ def vocabulary_q(spark, sf):
     return M.vocabulary(counts(spark, sf, shared=False, max_order=1))
 
 
+@query(
+    "stable_word_ids",
+    W(MODEL) + "SELECT ends AS word, CAST('0x' || substr(md5(ends), 1, 15) AS BIGINT) AS word_id FROM counts WHERE \"order\" = 1",
+)
+def stable_word_ids_q(spark, sf):
+    from ..operators import wordids as I
+
+    words = counts(spark, sf, shared=False, max_order=1).select(F.col("ends").alias("word"))
+    return I.stable_word_ids(words)
+
+
 @query(
     "ngram_ids",
     W(MODEL) + "SELECT \"order\", begins, ends, ngram_count, row_number() OVER (ORDER BY \"order\", begins, ends) AS ngram_id "

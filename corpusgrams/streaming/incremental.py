@@ -1,19 +1,23 @@
 """Incremental n-gram counts over arriving files (Structured Streaming).
 
 Each micro-batch of documents is tokenised and counted (the same plan as the
-batch model), and its partial counts are written under ``batch_id=<id>``
-with overwrite semantics: when a batch is replayed after a failure, its
-folder is replaced, so no count is added twice.  The model is the sum over
-all batch folders (``sum_partial_counts``).
+batch model), and its partial counts are written to a folder of the batch that
+a manifest then names: a batch replayed after a failure is counted once.  Full
+levels of folders are merged, and the model is the sum over the live folders
+(``sum_partial_counts``).
+
+S12: ``run_longest_lines`` keeps the longest line of each file in Spark's state
+store across micro-batches and restarts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.tokenize import ngram_counts
 from ..sources.corpus import document_lines
-from ..sources.store import sum_partial_counts, write_partial_counts
+from ..sources.store import read_if_there, sum_partial_counts, write_partial_counts
 
 
 def count_batch(batch: DataFrame, batch_id: int, out: str, min_order: int = 1, max_order: int = 5) -> None:
@@ -29,18 +33,49 @@ def run_incremental_counts(spark: SparkSession, source_dir: str, out: str, check
     ``out`` (partial counts) and ``checkpoint`` (which files were seen) must be
     kept between calls, on storage that all executors share.
     """
+    stream = documents_stream(spark, source_dir, pattern, files_per_batch)
+    q = (
+        stream.writeStream.foreachBatch(lambda df, bid: count_batch(df, bid, out))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return sum_partial_counts(spark, out)
+
+
+def documents_stream(spark: SparkSession, source_dir: str, pattern: str, files_per_batch: int) -> DataFrame:
+    """The files matching ``pattern`` under ``source_dir``, some per micro-batch."""
     schema = spark.read.parquet(f"{source_dir}/{pattern}").schema
-    stream = (
+    return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", pattern)
         .parquet(source_dir)
     )
+
+
+def run_longest_lines(spark: SparkSession, source_dir: str, out: str, checkpoint: str,
+                      pattern: str = "documents*.parquet", files_per_batch: int = 1) -> DataFrame:
+    """S12 running readers: file, max_chars over all lines seen so far, after
+    every file that has not been seen yet.
+
+    The running maxima are the state of a streaming aggregate (one row per file
+    name): a restart goes on from the checkpoint and reads only new files.  Each
+    micro-batch writes the maxima that it raised to a folder of its own, which a
+    replay overwrites; a maximum never falls, so the result is the highest."""
+    stream = documents_stream(spark, source_dir, pattern, files_per_batch)
+    longest = document_lines(stream).groupBy("file").agg(F.max(F.length("text")).alias("max_chars"))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
     q = (
-        stream.writeStream.foreachBatch(lambda df, bid: count_batch(df, bid, out))
+        longest.writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return sum_partial_counts(spark, out)
+    seen = read_if_there(spark, out, "file string, max_chars int")
+    return seen.groupBy("file").agg(F.max("max_chars").alias("max_chars"))
