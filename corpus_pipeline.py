@@ -1,7 +1,8 @@
 """A cleaning pipeline over ``documents``: each stage works on what the one before kept.
 
 Quality classifier, exact dedup, near dedup, redaction of personal data, packing.
-Every stage is written as Parquet and read again before the next one.
+Every stage is written as Parquet and read again before the next one; what it
+read and the tables it wrote for itself are deleted then.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusgrams.llm import exact_dedup, nbsvm, packing, pii, probminhash
-from corpusgrams.llm.common import documents, labels, saved_table
+from corpusgrams.llm.common import delete_table, documents, freed_tables, labels, write_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +54,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of what the stages keep of ``documents``."""
-    docs = documents(spark, sf_dir)
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = saved_table(docs)
-    return docs
+    docs, read = documents(spark, sf_dir), None
+    for _, stage in STAGES[:-1]:
+        with freed_tables(spark):
+            kept = stage(spark, docs, sf_dir)
+            written = write_table(kept)
+        if read is not None:
+            delete_table(spark, read)
+        docs, read = spark.read.schema(kept.schema).parquet(written), written
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -9,8 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.prefilter import asked_bits, may_be_asked
 from ..session import ensure_checkpoint_dir
 
+FILTER_BITS = 1 << 24  # two megabytes, however many keys are wanted
 ARROW_ROWS = 1000  # rows of an Arrow batch; Spark's default of 10,000 whole texts is too much for a worker
 
 
@@ -55,16 +60,61 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_private: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("private tables", default=None)
+
+
+def write_table(df: DataFrame) -> str:
+    """Write ``df`` as Parquet into a new folder of the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def saved_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+    """``df`` written as Parquet and read back.
 
-    For tables with texts: compressed, and safe when executors are lost.  Narrow
-    tables use ``session.cut_lineage`` (a checkpoint) instead.
+    For wide tables: compressed, and safe when executors are lost.  Narrow
+    tables use ``session.cut_lineage`` (a checkpoint) instead.  Inside
+    ``freed_tables`` the files go when that block ends.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path, paths = write_table(df), _private.get()
+    if paths is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system (nothing to do where it is missing)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def freed_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``saved_table`` writes in this block are deleted at its end;
+    what is read from them must be written by then.  Plans that nobody holds any
+    more are collected, so that Spark drops their shuffle files too."""
+    paths: list[str] = []
+    token = _private.set(paths)
+    try:
+        yield
+    finally:
+        _private.reset(token)
+        for path in paths:
+            delete_table(spark, path)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+def without(table: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose ``key`` is not in ``gone`` (its only column).
+
+    A bitmap of fixed size tells for most rows that they stay; only the others
+    go through the exact anti-join, so whole texts are shuffled about as often
+    as rows go."""
+    bits = asked_bits(gone, FILTER_BITS)
+    doubtful = may_be_asked(bits, table[key], bits=FILTER_BITS)
+    return table.filter(~doubtful).unionByName(table.filter(doubtful).join(gone, key, "left_anti"))
 
 
 def small_arrow_batches(spark: SparkSession) -> None:

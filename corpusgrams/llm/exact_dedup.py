@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import fresh, saved_table
+from .common import fresh, saved_table, without
 
 PART_DIGESTS = 50_000  # digests of one part of the index: about 4 MB
 GAMMA = 2.0  # bits of a level for each key that reaches it
@@ -240,8 +240,8 @@ def keep_first_copies(docs: DataFrame, history: str | None = None) -> DataFrame:
         F.length(F.coalesce(table["text"], F.lit(""))).cast("bigint").alias("n_points"),
         in_history(table, history).alias("historical"),
     )
-    kept = exact_groups(rows).filter("kept").select(F.col("uid").alias(uid))
-    return table.join(kept, uid, "left_semi").select(*docs.columns)
+    gone = cut_lineage(exact_groups(rows).filter("NOT kept").select(F.col("uid").alias(uid)))
+    return without(table, gone, uid).drop(uid, dig)
 
 
 # --- registered query --------------------------------------------------------

@@ -35,8 +35,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.prefilter import asked_bits, may_be_asked
 from ..session import cut_lineage
-from .common import documents, fresh, saved_table, small_arrow_batches, text_slices
+from .common import FILTER_BITS, documents, fresh, saved_table, small_arrow_batches, text_slices, without
 from .words import Words
 
 SHINGLE = 5
@@ -190,14 +191,17 @@ def most_common(n: Column, sketch: Column, other: Column) -> Column:
 
 
 def _texts_of(nodes: DataFrame, rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    """node, shingles of the nodes that share a bucket, from whole texts: of each
-    node the row that stands for it (found by id and digest, so that a hot text
-    is not gathered)."""
-    wanted = cut_lineage(
-        buckets.select("node").distinct().join(nodes.select("node", "digest", F.col("best.id").alias("id")), "node"))
-    key = F.coalesce(rows["doc_id"], F.lit(-1))
-    found = rows.join(wanted, (key == F.coalesce(wanted["id"], F.lit(-1))) & (rows["digest"] == wanted["digest"]))
-    return saved_table(found.select("node", "text").mapInArrow(_shingle_batches, "node long, shingles array<long>"))
+    """node, shingles of the nodes that share a bucket, from whole texts.
+
+    Texts whose bit is not set in a bitmap of the wanted digests stay where they
+    are; of the others each task hands over one text a digest, so that neither a
+    hot text nor repeated rows are gathered."""
+    wanted = cut_lineage(buckets.select("node").distinct().join(nodes.select("node", "digest"), "node"))
+    bits = asked_bits(wanted.select("digest"), FILTER_BITS)
+    some = rows.filter(may_be_asked(bits, rows["digest"], bits=FILTER_BITS)).groupBy("digest").agg(
+        F.first("text").alias("text"))
+    found = some.join(wanted, "digest").select("node", "text")
+    return saved_table(found.mapInArrow(_shingle_batches, "node long, shingles array<long>"))
 
 
 def is_link(n: Column, common: Column) -> Column:
@@ -296,12 +300,12 @@ def _link_buckets(buckets: DataFrame, texts: DataFrame, known: Links) -> None:
 def near_classes(rows: DataFrame) -> DataFrame:
     """uid, doc_id, class_id, class_size, kept of every row (uid, doc_id, text, digest)."""
     small_arrow_batches(rows.sparkSession)
-    signed = cut_lineage(rows.mapInArrow(_sign_batches, SIGNED))
+    signed = saved_table(rows.mapInArrow(_sign_batches, SIGNED))
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("uid"))
     nodes = signed.groupBy("digest").agg(F.min(best).alias("best"), F.first("n").alias("n"), F.first("bands").alias("bands"),
                                          F.first("sketch").alias("sketch"),
                                          F.count(F.lit(1)).alias("copies"))
-    nodes = cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
+    nodes = saved_table(nodes.withColumn("node", F.monotonically_increasing_id()))
     buckets, known = _buckets(nodes), Links()
     if buckets.take(1):
         _link_buckets(buckets, _texts_of(nodes, rows, buckets), known)
@@ -335,8 +339,8 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay."""
     uid = fresh(docs, "row_uid")
     table = saved_table(docs.withColumn(uid, F.monotonically_increasing_id()))
-    gone = near_classes(_rows(table, F.col(uid))).filter("NOT kept").select(F.col("uid").alias(uid))
-    return table.join(gone, uid, "left_anti").select(*docs.columns)
+    gone = cut_lineage(near_classes(_rows(table, F.col(uid))).filter("NOT kept").select(F.col("uid").alias(uid)))
+    return without(table, gone, uid).drop(uid)
 
 
 # --- registered query --------------------------------------------------------

@@ -1,6 +1,7 @@
 """Exact and near dedup against brute force."""
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -8,9 +9,11 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusgrams.llm import exact_dedup as E
 from corpusgrams.llm import probminhash as P
+from corpusgrams.llm.common import freed_tables, saved_table, without
 from corpusgrams.llm.queries import ORACLES, QUERIES
 from tools.check_oracles import rows_of
 
@@ -200,3 +203,30 @@ def test_no_link_exceeds_its_bound():
             s = P.sketches(np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b]), 3).view(np.uint64)
             assert s.shape == (3, P.GROUPS // 64) and not s[2].any()
             assert np.bitwise_count(s[0] ^ s[1]).sum() <= len(np.setxor1d(a, b))
+
+
+def test_column_names_with_dots_and_repeated_rows_pass(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(i % 2, text + (" more" if i % 2 else ""), i) for i in range(600)]  # 300 repeated rows of each of two ids
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` long")
+    assert E.keep_first_copies(df).columns == P.keep_one_of_each(df).columns == df.columns
+    assert E.keep_first_copies(df).count() == 2
+    assert P.keep_one_of_each(df).count() == 1
+    check_near(df)
+
+
+def test_without_equals_an_anti_join(spark):
+    df = spark.range(5000).withColumn("x", F.col("id") * 2)
+    gone = spark.range(0, 5000, 7)
+    assert sorted(r.id for r in without(df, gone, "id").collect()) == [i for i in range(5000) if i % 7]
+    assert without(df, gone.limit(0), "id").count() == 5000
+
+
+def test_private_tables_go_with_their_block(spark):
+    with freed_tables(spark):
+        inside = saved_table(spark.range(3))
+        path = inside.inputFiles()[0].removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+    after = saved_table(spark.range(3))
+    assert os.path.exists(after.inputFiles()[0].removeprefix("file:"))
