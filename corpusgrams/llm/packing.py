@@ -130,22 +130,26 @@ def _rows(windows: list[list[Piece]], first_id: int, task: int, keep_ids: bool =
 
 
 class Memory(dict):
-    """A bounded dict: when it is full, what was used since the last time stays."""
+    """A bounded dict: when it is full, what is used from then on stays."""
 
     def __init__(self, size: int = MEMORY):
         super().__init__()
         self.size, self.old = size, {}
 
-    def missing(self, wanted: set) -> list:
-        """The keys that are not remembered; the others are in this dict afterwards."""
+    def turn(self) -> None:
+        """Between two uses: a full dict becomes the old one."""
         if len(self) > self.size:
             self.old = dict(self)
             self.clear()
-        new = [w for w in wanted if w not in self]
+
+    def missing(self, wanted: set) -> list:
+        """The keys that are not remembered; the others are in this dict afterwards."""
+        new = wanted.difference(self)
         if self.old:
-            self.update((w, self.old[w]) for w in new if w in self.old)
-            new = [w for w in new if w not in self]
-        return new
+            again = new & self.old.keys()
+            self.update(zip(again, map(self.old.__getitem__, again)))
+            new -= again
+        return list(new)
 
 
 SEPARATOR = b"\xff" * 4  # no id: the two upper bytes of one are 0
@@ -172,6 +176,9 @@ class WordTokens:
         self.runs = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+|\n").findall
         self.latin_runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n").findall
         self.latin = re.compile("[!-~À-ÿ]+").fullmatch
+        # lower-case printable ASCII stays as it is under the normaliser and the byte alphabet
+        self.bare = tokenizers.Tokenizer(self.library.model)
+        self.bare.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a run
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -180,13 +187,13 @@ class WordTokens:
         self.words: dict[bytes, bytes] = Memory()
         self.parts: dict[bytes, bytes] = Memory()
 
-    def _run_ids(self, runs: list[bytes]) -> list[bytes]:
+    def _run_ids(self, runs: list[bytes], library) -> list[bytes]:
         """Runs are encoded many at a time, with spaces between; each gives
         tokens of which exactly the last ends a run."""
         out: list[bytes] = []
         for at in range(0, len(runs), 1000):
             part = runs[at:at + 1000]
-            encoded = self.library.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            encoded = library.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
             ids = np.array(encoded[0].ids, "<u4")
             cut = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(cut) != len(part):
@@ -209,8 +216,9 @@ class WordTokens:
             runs = self.runs(joined.lower())
         else:
             runs = [r.encode() for r in self.latin_runs(joined.decode().lower())]
+        self.parts.turn()
         new = self.parts.missing(set(runs) - {b"\n"})
-        self.parts.update(zip(new, self._run_ids(new)))
+        self.parts.update(zip(new, self._run_ids(new, self.bare if ascii_only else self.library)))
         self.parts[b"\n"] = SEPARATOR
         return b"".join(map(self.parts.__getitem__, runs)).split(SEPARATOR)
 
@@ -237,7 +245,8 @@ class WordTokens:
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 4-byte integers."""
         split = [t.encode().split() for t in texts]
-        self.learn({w for s in split for w in s})
+        self.words.turn()
+        self.learn(set().union(*split))
         known = self.words.__getitem__
         return [b"".join(map(known, s)) for s in split]
 

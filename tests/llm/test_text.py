@@ -342,6 +342,7 @@ def test_word_ids_equal_the_library(library, docs):
 def test_a_full_memory_keeps_what_is_in_use():
     m = K.Memory(2)
     for wanted in ("ab", "bc", "ad", "ae"):
+        m.turn()
         for k in m.missing(set(wanted)):
             m[k] = k
         assert all(m[k] == k for k in wanted)
