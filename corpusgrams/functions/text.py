@@ -1,7 +1,7 @@
 """Column expressions for cleaning, sentence splitting and tokenising text.
 
 Every pattern here is written once and used by both the Spark expressions and
-the DuckDB oracle strings (``plans/oracles.py``), so both engines run the same
+the DuckDB oracle strings (``plans/sqltext.py``), so both engines run the same
 regular expressions.  Java regex (Spark) and RE2 (DuckDB) agree on all of them;
 where they differ (``\\s``, ``\\W``) the classes are spelled out explicitly.
 """
@@ -41,6 +41,11 @@ TOKEN_REJECT_PATTERN = (
 TOKEN_KEEP_PATTERN = r"[a-z']+"
 # Words left out of the first notebook's ten most frequent (fixed value).
 TOP_WORD_REJECT_PATTERN = r"^[0-9]+$|^it’s$|^don’t$|^i’m$|^rt$|^lol$"
+# Trigram / n-gram stop patterns of the exploration notebooks.
+NGRAM_STOP_PATTERN = (
+    r"^amazon[\. ].*$|omg omg omg|cake cake cake|rt rt rt|ass ass ass|"
+    r"follow follow follow"
+)
 # Further n-gram filters of the notebooks (fixed values).
 TOP_TRIGRAM_STOP_PATTERN = r"^NA NA NA$|^amazon[\. ]"
 WORD_DIGIT_PATTERN = "[0-9 ]"
@@ -85,11 +90,6 @@ SENT_BANG_PATTERN = r"([!?]+[)\"'”’]*)" + WS + "+"
 SENT_DOT_PATTERN = r"(\.[.)\"'”’]*)" + WS + r"+([^\p{Ll}\t\n\x0B\f\r ])"
 # A line holds a sentence when it has a non-blank character.
 NON_BLANK_PATTERN = r"[^\t\n\x0B\f\r ]"
-# Trigram / n-gram stop patterns of the exploration notebooks.
-NGRAM_STOP_PATTERN = (
-    r"^amazon[\. ].*$|omg omg omg|cake cake cake|rt rt rt|ass ass ass|"
-    r"follow follow follow"
-)
 # URLs stripped by the tweet tokeniser branch.
 URL_PATTERN = r"(?:https?|ftp)://[^\t\n\x0B\f\r ]+|www\.[^\t\n\x0B\f\r ]+"
 # Tweet tokens: words with an optional leading # or @.

@@ -26,10 +26,17 @@ KEY = ["order", "begins", "ends"]
 # ---------------------------------------------------------------------------
 # Corpus tables
 # ---------------------------------------------------------------------------
-def load_corpus(counts: DataFrame, with_ids: bool = True) -> DataFrame:
+def load_corpus(counts: DataFrame, with_ids: bool = True, slice_maximum: int | None = None,
+                lines_maximum: int | None = None) -> DataFrame:
     """M4: the union of the five order tables with order-1 ``ends`` NULL and a
-    dense ``ngram_id`` in (order, begins, ends) order."""
-    c = counts.withColumn("ends", F.when(F.col("order") == 1, F.lit(None)).otherwise(F.col("ends")))
+    dense ``ngram_id`` in (order, begins, ends) order.
+
+    ``lines_maximum`` reads the first rows of each order only, ``slice_maximum``
+    then keeps the most frequent continuations of each ``begins``."""
+    c = counts if lines_maximum is None else cap_per_order(counts, lines_maximum)
+    if slice_maximum is not None:
+        c = W.prune_continuations(c, slice_maximum)
+    c = c.withColumn("ends", F.when(F.col("order") == 1, F.lit(None)).otherwise(F.col("ends")))
     if not with_ids:
         return c
     return O.global_row_number(c, ["order", "begins", "ends"], "ngram_id")
@@ -40,6 +47,11 @@ def corpus_size(counts: DataFrame) -> DataFrame:
     return counts.groupBy("order").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def corpus_total(counts: DataFrame) -> DataFrame:
+    """M4: the total ``N`` beside that of each order (``order`` null), in one pass."""
+    return counts.rollup("order").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def cap_per_order(counts: DataFrame, n: int) -> DataFrame:
     """S4 ``lines_maximum``: the first ``n`` rows of each order in
     (begins, ends) order (explicit order replaces file order)."""

@@ -472,3 +472,19 @@ def top20_bigrams(spark, sf):
 @query("top20_trigrams", _top20_sql(TG_CTE, "tg", "trigram", T.TOP_TRIGRAM_STOP_PATTERN))
 def top20_trigrams(spark, sf):
     return _top20(_trigram_tbl(spark, sf), "trigram", T.TOP_TRIGRAM_STOP_PATTERN)
+
+
+# --- C7 the second notebook's filters before the twenty most frequent ---
+@query("top20_words_no_digits", _top20_sql(TOK_CTE, "tok", "word", T.WORD_DIGIT_PATTERN))
+def top20_words_no_digits(spark, sf):
+    return _top20(tok_corpora(spark, sf), "word", T.WORD_DIGIT_PATTERN)
+
+
+@query("top20_bigrams_filtered", _top20_sql(BG_CTE, "bg", "bigram", T.BIGRAM_STOP_PATTERN))
+def top20_bigrams_filtered(spark, sf):
+    return _top20(_bigram_tbl(spark, sf), "bigram", T.BIGRAM_STOP_PATTERN)
+
+
+@query("top20_trigrams_filtered", _top20_sql(TG_CTE, "tg", "trigram", T.TRIGRAM_STOP_PATTERN))
+def top20_trigrams_filtered(spark, sf):
+    return _top20(_trigram_tbl(spark, sf), "trigram", T.TRIGRAM_STOP_PATTERN)

@@ -117,6 +117,28 @@ def load_corpus_capped(spark, sf):
     return M.cap_per_order(counts(spark, sf, shared=False), CAP_LINES)
 
 
+SLICE_MAXIMUM = 2
+
+
+@query(
+    "load_corpus_sliced",
+    W(MODEL, f"capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY \"order\" ORDER BY begins, ends) AS rn "
+      f"FROM counts) WHERE rn <= {CAP_LINES})",
+      "sliced AS (SELECT *, row_number() OVER (PARTITION BY \"order\", begins ORDER BY ngram_count DESC, ends) AS rk FROM capped)")
+    + "SELECT \"order\", begins, CASE WHEN \"order\" = 1 THEN NULL ELSE ends END AS ends, ngram_count "
+    f"FROM sliced WHERE rk <= {SLICE_MAXIMUM}",
+)
+def load_corpus_sliced(spark, sf):
+    c = counts(spark, sf, shared=False)
+    return M.load_corpus(c, with_ids=False, slice_maximum=SLICE_MAXIMUM, lines_maximum=CAP_LINES).select(
+        "order", "begins", "ends", "ngram_count")
+
+
+@query("corpus_total", W(MODEL) + "SELECT \"order\", count(*) AS n_rows FROM counts GROUP BY ROLLUP (\"order\")")
+def corpus_total(spark, sf):
+    return M.corpus_total(counts(spark, sf, shared=False))
+
+
 def _register_endcounted(k: int, name: str):
     @query(
         f"endcounted_{name}",
