@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import cut_lineage
 from . import ordinals as O
+from . import prefilter as PF
 from . import ranking as W
 from .tokenize import ngram_string
 
@@ -312,53 +313,95 @@ def recode_single(table: DataFrame, id_col: str, word_col: str, vocab: DataFrame
     return table.select(id_col, word_col).join(v, word_col).select(id_col, F.col("wid").alias("ngram"))
 
 
-def trim_unknown(counts: DataFrame, prop: float = 0.4) -> DataFrame:
+def word_classes(counts: DataFrame, most_frequent_first: bool = False) -> DataFrame:
+    """One row per distinct word count: ``wc``, ``n_words`` with that count, and
+    the words and occurrences of this and all earlier classes (``words_to``,
+    ``sum_to``).  A corpus of T tokens has fewer than ``sqrt(2 T)`` classes, so
+    the running sums are windows over a small table, never over the vocabulary."""
+    by = F.col("wc").desc() if most_frequent_first else F.col("wc").asc()
+    running = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    classes = counts.filter(F.col("order") == 1).groupBy(F.col("ngram_count").alias("wc")).agg(
+        F.count(F.lit(1)).alias("n_words"))
+    return classes.select("wc", "n_words", F.sum("n_words").over(running).alias("words_to"),
+                          F.sum(F.col("wc") * F.col("n_words")).over(running).alias("sum_to"))
+
+
+def rare_words(counts: DataFrame, prop: float) -> tuple[DataFrame, DataFrame]:
+    """M13's words: the ``floor(prop * V)`` least frequent ones (ties by word), and
+    one row with the count ``cutoff`` of the last of them (null when there is none).
+
+    The cut-off follows from the classes; words below it are taken as they are,
+    and only those with exactly that count are put in order."""
+    classes = word_classes(counts)
+    wanted = classes.agg(F.floor(F.max("words_to") * F.lit(float(prop))).alias("_wanted"))
+    at_cut = (F.col("words_to") - F.col("n_words") < F.col("_wanted")) & (F.col("_wanted") <= F.col("words_to"))
+    last = classes.crossJoin(F.broadcast(wanted)).filter(at_cut)  # one row, or none
+    cut = cut_lineage(last.agg(F.max("wc").alias("cutoff"),
+                               F.max(F.col("_wanted") - (F.col("words_to") - F.col("n_words"))).alias("ties")))
+    words = counts.filter(F.col("order") == 1).select(F.col("ends").alias("word"), F.col("ngram_count").alias("wc"))
+    cutoff = cut.select("cutoff").scalar()
+    below = words.filter(F.col("wc") < cutoff).select("word")
+    tied = O.global_row_number(words.filter(F.col("wc") == cutoff).select("word"), ["word"], "_rk")
+    tied = tied.filter(F.col("_rk") <= cut.select("ties").scalar()).select("word")
+    return cut_lineage(below.unionByName(tied)), cut.select("cutoff")
+
+
+def trim_unknown(counts: DataFrame, prop: float = 0.4, max_order: int = 5) -> DataFrame:
     """M13 ``trim(prop)``: the ``floor(prop * V)`` least frequent words (ties
-    by word) become ``__unk__`` in every order; counts are re-summed."""
-    uni = counts.filter(F.col("order") == 1).select(F.col("ends").alias("word"), F.col("ngram_count").alias("wc"))
-    ranked = O.global_row_number(uni, ["wc", "word"], "_rk")
-    n_words = uni.agg(F.count(F.lit(1)).alias("_V"))
-    low = ranked.crossJoin(F.broadcast(n_words)).filter(
-        F.col("_rk") <= F.floor(F.col("_V") * F.lit(float(prop)))
-    ).select("word", F.lit(True).alias("_low"))
-    ex = _explode_words(counts).join(low, "word", "left")
-    ex = ex.withColumn("word", F.when(F.col("_low"), F.lit(T.TOKEN_UNK)).otherwise(F.col("word")))
-    g = _regroup(ex, "word", ["ngram_count"])
+    by word) become ``__unk__`` in every order; counts are re-summed.
+
+    An n-gram is no more frequent than any of its words, so one above the
+    cut-off holds no rare word; of the others a bitmap of the rare words lets
+    through those that may hold one.  Only they are taken apart (the marked
+    words alone, an exact join behind the bitmap) and summed again; all others
+    stay as they are, without a shuffle."""
+    rare, cutoff = rare_words(counts, prop)
+    bits = PF.asked_bits(rare)
+    words = F.when(F.col("order") == 1, F.array("ends")).otherwise(F.concat(F.split("begins", " "), F.array("ends")))
+    c = counts.select(*KEY, "ngram_count", words.alias("_ws"))
+
+    def marked(i: int):
+        w = F.get("_ws", F.lit(i))
+        return F.when(w.isNotNull() & PF.may_be_asked(bits, w), w)
+
+    may = F.array_compact(F.array(*[marked(i) for i in range(max_order)]))
+    seldom = F.coalesce(F.col("ngram_count") <= cutoff.scalar(), F.lit(False))
+    c = c.withColumn("_may", F.when(seldom, may).otherwise(F.array().cast("array<string>")))
+    c = cut_lineage(c.withColumn("_touched", (F.size("_may") > 0) | F.array_contains("_ws", T.TOKEN_UNK)))
+    marks = c.filter("_touched").select(*KEY, "ngram_count", "_ws", F.explode_outer(F.array_distinct("_may")).alias("word"))
+    found = marks.join(rare.withColumn("_rare", F.lit(True)), "word", "left")
+    grams = found.groupBy(*KEY, "ngram_count", "_ws").agg(F.collect_set(F.when(F.col("_rare"), F.col("word"))).alias("_out"))
+    ws = F.transform("_ws", lambda w: F.when(F.array_contains("_out", w), F.lit(T.TOKEN_UNK)).otherwise(w))
+    g = grams.select("order", "ngram_count", ws.alias("_ws"))
     n = F.size("_ws")
-    re = g.select(
+    again = g.select(
         "order",
         F.when(n == 1, F.element_at("_ws", 1)).otherwise(F.array_join(F.slice("_ws", 1, n - 1), " ")).alias("begins"),
         F.element_at("_ws", -1).alias("ends"),
         "ngram_count",
-    )
-    return re.groupBy(*KEY).agg(F.sum("ngram_count").alias("ngram_count"))
+    ).groupBy(*KEY).agg(F.sum("ngram_count").alias("ngram_count"))
+    return c.filter(~F.col("_touched")).select(*KEY, "ngram_count").unionByName(again)
 
 
 def coverage(counts: DataFrame, fractions: tuple[float, ...] = (0.5, 0.9)) -> DataFrame:
     """The smallest number of most frequent words whose counts cover
     each fraction of all word instances.
 
-    Ranks come from ``global_row_number`` (count desc, word); running sums
-    are bucketed prefix sums over ranks (windows bounded to 100,000 rows plus
-    one small table of bucket offsets), not a one-task window."""
-    uni = counts.filter(F.col("order") == 1).select(F.col("ends").alias("word"), F.col("ngram_count").alias("n"))
-    ranked = O.global_row_number(uni.withColumn("_neg", -F.col("n")), ["_neg", "word"], "rank")
-    # cumulative sum by rank: bucketed prefix sums (bounded windows)
-    b = ranked.withColumn("_bk", F.floor((F.col("rank") - 1) / 100000))
-    bsum = b.groupBy("_bk").agg(F.sum("n").alias("_bs"))
-    boff = bsum.select("_bk", F.coalesce(F.sum("_bs").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_boff"))
-    cum = b.join(boff, "_bk").withColumn(
-        "cum", F.col("_boff") + F.sum("n").over(Window.partitionBy("_bk").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    total = uni.agg(F.sum("n").alias("_tot"))
-    c = cum.crossJoin(F.broadcast(total))  # one-row scalar
-    # one conditional minimum per fraction, in a single aggregation
-    mins = c.agg(*[
-        F.min(F.when(F.col("cum") >= F.lit(float(f)) * F.col("_tot"), F.col("rank"))).alias(f"f{i}")
-        for i, f in enumerate(fractions)
-    ])
+    From the classes of words with the same count: the class in which the
+    running sum first reaches the fraction, and how many of its words that
+    takes.  The vocabulary is never ranked."""
+    c = word_classes(counts, most_frequent_first=True)
+    total = c.agg(F.max("sum_to").alias("_tot"))
+    c = c.crossJoin(F.broadcast(total))  # one-row scalar
+    mins = []
+    for i, f in enumerate(fractions):
+        need = F.ceil(F.col("_tot") * F.lit(float(f)))
+        before = F.col("sum_to") - F.col("wc") * F.col("n_words")
+        of_class = F.greatest(F.lit(1), F.call_function("div", need - before + F.col("wc") - 1, F.col("wc")))
+        rank = (F.col("words_to") - F.col("n_words") + of_class).cast("bigint")
+        mins.append(F.min(F.when(F.col("sum_to") >= need, rank)).alias(f"f{i}"))
     rows = F.array(*[
         F.struct(F.lit(float(f)).alias("fraction"), F.col(f"f{i}").alias("n_words"))
         for i, f in enumerate(fractions)
     ])
-    return mins.select(F.inline(rows))
+    return c.agg(*mins).select(F.inline(rows))

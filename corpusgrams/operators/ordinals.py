@@ -68,11 +68,10 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_id",
     Range partitioning spreads the rows; each row's number inside its
     partition comes from ``monotonically_increasing_id`` (partition index in
     the high bits); the partition ids are fixed by a reliable checkpoint
-    before the per-partition counts are taken.
+    before the per-partition counts are taken.  Unless ``partitions`` is given,
+    adaptive execution sizes the ranges.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
     tagged = ranged.select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     )

@@ -210,6 +210,21 @@ def sample_lines(spark, sf):
     return sampled(spark, sf).select("doc_id", "line_no", "file", "text", "chunk", "rnum", "from")
 
 
+BY_FRACTIONS = {"src0": 0.1, "src1": 0.5}
+
+
+@query(
+    "sample_lines_by",
+    W(S.lines_cte(), f"x AS (SELECT *, substr({_hash_sql(SAMPLE_SEED, 'doc_id', 'line_no')}, 1, 8) AS h FROM doc_lines)")
+    + "SELECT doc_id, line_no, file, text FROM x WHERE CAST('0x' || h AS BIGINT) < CASE file "
+    + " ".join(f"WHEN '{f}' THEN round({p} * 4294967296)" for f, p in BY_FRACTIONS.items())
+    + f" ELSE round({SAMPLE_PROP} * 4294967296) END",
+)
+def sample_lines_by(spark, sf):
+    s = P.sample_by(lines(spark, sf), "file", BY_FRACTIONS, ["doc_id", "line_no"], SAMPLE_SEED, SAMPLE_PROP)
+    return s.select("doc_id", "line_no", "file", "text")
+
+
 @query(
     "sample_n",
     W(S.lines_cte()) + f"SELECT doc_id, line_no, text FROM doc_lines ORDER BY {_hash_sql(SAMPLE_N_SEED, 'doc_id', 'line_no')}, "
@@ -260,14 +275,11 @@ def _line_grams_sql(src_: str, n: int, name: str, keep: str) -> str:
     + "SELECT n, ngram, count(*) AS ngram_count, regexp_replace(ngram, ' [^ ]+$', '') AS prefix FROM u GROUP BY n, ngram",
 )
 def bootstrap_ngrams(spark, sf):
-    s = sampled(spark, sf)
-    parts = []
-    for n in (1, 2, 3):
-        g = tk.line_ngrams(s, n, keep=("doc_id",))
-        c = A.count_by(g, ["ngram"], "ngram_count").withColumn("n", F.lit(n))
-        parts.append(c)
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return u.select("n", "ngram", "ngram_count", tk.split_last_word(F.col("ngram"))[0].alias("prefix"))
+    words = sampled(spark, sf).select(T.words(F.col("text")).alias("tokens"))
+    g = tk.explode_ngrams(words, "tokens", 1, 3)
+    c = A.count_by(g, ["order", "begins", "ends"], "ngram_count")
+    whole = tk.ngram_string(F.col("begins"), F.col("ends"), F.col("order"))
+    return c.select(F.col("order").cast("int").alias("n"), whole.alias("ngram"), "ngram_count", F.col("begins").alias("prefix"))
 
 
 @query(
