@@ -21,8 +21,8 @@ recursion runs over classes and stays exact.
   tokens and the sums of its texts over everything that hangs on words alone.
 * ``expected_counts``: one Baum-Welch step.  Each task runs the scaled forward
   and backward recursions over its blocks and hands over one row per class; the
-  driver gets their sums, (classes x states) numbers.  The first steps, which
-  part the states from a random start, run on a fixed share of the texts by a hash.
+  driver gets their sums, (classes x states) numbers.  Every step reads all
+  training texts.
 * ``score``: the forward recursion over all texts.
 """
 
@@ -46,7 +46,7 @@ END = ""  # the end token; no word is empty
 STATES = 8
 FREQUENT = 4096  # words that are classes of their own
 TAIL = 4096  # classes of all other words
-SHARES = (16,) * 6 + (4,) * 2 + (1,) * 2  # Baum-Welch steps: one text in so many takes part
+SHARES = (1,) * 10  # Baum-Welch steps: one text in so many takes part
 PRIOR = 1.0  # weight of the corpus's own class shares in a state's, in tokens
 BLOCK_BYTES = 8 << 20
 BATCH_TOKENS, BATCH_TEXTS = 150_000, 160  # the recursions' batches: so many tokens or, if more, so many texts

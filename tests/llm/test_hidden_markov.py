@@ -209,3 +209,16 @@ def test_without_training_rows(spark, docs):
     got = H.score_documents(docs.limit(3), F.lit(False), 2, 5, 5, (1,)).collect()
     assert all((r.held_out, r.n_known, r.train_tokens, r.base_score) == (True, 0, 0, 0.0) for r in got)
     assert all(math.isfinite(r.score) for r in got)
+
+
+def test_every_step_reads_all_training_texts(spark, monkeypatch):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"))
+    seen, expected = [], H.expected_counts
+
+    def counting(texts, model):
+        seen.append(texts.select(F.sum(F.size("n_tokens"))).first()[0])
+        return expected(texts, model)
+
+    monkeypatch.setattr(H, "expected_counts", counting)
+    H.score_documents(docs, F.col("doc_id") % 4 != 0, 2, 5, 5).collect()
+    assert seen == [30] * len(H.SHARES) and len(seen) == 10
