@@ -4,10 +4,13 @@ The rules count things in every whole text (words, symbols, repeated lines and
 three-word windows).  A document that fails a base rule goes.  The others'
 statistics, as shares that do not depend on the length, meet a forest of random
 splits: an unusual document is isolated by few splits, so its mean path is
-short.  The forest is grown on at most ``MAX_SAMPLE`` documents (each tree on
-``TREE_ROWS`` of them); the threshold on its score comes from at most
-``MAX_LABELLED`` labelled documents.  Both are bounds on the driver's work; all
-documents are counted and scored.
+short.  All documents grow the forest: by a hash of its id each grows one tree,
+or as many as give every tree ``TREE_ROWS`` documents.  Trees grow level by
+level: the tasks find how many documents reach each node and the range of their
+statistics, the driver draws the splits (a row per tree and node, whatever the
+number of documents).
+The threshold comes from all labelled documents, whose scores are counted in
+``BINS`` bins; it lies between two of their scores, one candidate a bin.
 """
 
 from __future__ import annotations
@@ -16,18 +19,19 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import bounded_sample, documents, held_out, id_and_text, labels, small_arrow_batches, text_slices
+from .common import documents, held_out, id_and_text, labels, small_arrow_batches, text_slices
 from .words import Words
 
 MIN_WORDS = 50  # base rule
 MAX_REPEAT_PERCENT = 50  # base rule
-TREES, TREE_ROWS, DEPTH = 200, 64, 8
-MAX_SAMPLE = 8192
-MAX_LABELLED = 20_000
+TREES, TREE_ROWS, DEPTH = 200, 64, 8  # a tree has TREE_ROWS documents at least, if there are so many
+GATHER = 100_000  # documents (times the trees of each) that a task takes through the trees at once
+BINS = 1 << 16  # of the score, for the threshold
 GOOD_LOST = 0.002  # share of good labelled documents that the threshold may reject
 
 STATISTICS = ("word_length", "symbols", "upper_case", "most_frequent_word")  # none depends on the length alone
@@ -97,28 +101,83 @@ def usual_path(n: np.ndarray | int) -> np.ndarray:
                     np.where(n == 2, 1.0, 0.0))
 
 
-def grow_forest(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7) -> dict[str, np.ndarray]:
+def bare_forest(trees: int = TREES) -> dict[str, np.ndarray]:
     """Trees as heaps: split feature (-1: leaf), split value, and path length at each node."""
-    rng = np.random.default_rng(seed)
     nodes = 2 ** (DEPTH + 1) - 1
-    feature = np.full((trees, nodes), -1, np.int32)
-    value, path = np.zeros((trees, nodes)), np.zeros((trees, nodes))
-    for t in range(trees):
-        todo = [(0, 0, x[rng.permutation(len(x))[:rows]])]
-        while todo:
-            node, depth, part = todo.pop()
-            low, high = (part.min(0), part.max(0)) if len(part) else (np.zeros(x.shape[1]),) * 2
-            able = np.flatnonzero(high > low)
-            if depth == DEPTH or not len(able):
-                path[t, node] = depth + usual_path(len(part))
-                continue
-            f = int(rng.choice(able))
-            v = rng.uniform(low[f], high[f])
-            feature[t, node], value[t, node] = f, v
-            right = part[:, f] > v
-            todo += [(2 * node + 1, depth + 1, part[~right]), (2 * node + 2, depth + 1, part[right])]
-    return {"feature": feature, "value": value, "path": path,
-            "usual": np.array(float(max(usual_path(min(rows, len(x))), 1e-9)))}
+    return {"feature": np.full((trees, nodes), -1, np.int32), "value": np.zeros((trees, nodes)),
+            "path": np.zeros((trees, nodes)), "usual": np.array(1e-9)}
+
+
+def trees_a_row(rows: int, trees: int) -> int:
+    """How many trees each of ``rows`` documents grows."""
+    return min(trees, max(1, -(-TREE_ROWS * trees // max(rows, 1))))
+
+
+def own_trees(ids: np.ndarray, each: int, trees: int) -> np.ndarray:
+    """The ``each`` trees of every id, a row of them each."""
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    strides = np.array([k for k in range(1, trees + 1) if np.gcd(k, trees) == 1], np.uint64)
+    step = strides[(h >> np.uint64(50)) % np.uint64(len(strides))]
+    return ((h >> np.uint64(32))[:, None] + np.arange(each, dtype=np.uint64) * step[:, None]).astype(np.uint64) % np.uint64(trees)
+
+
+def node_ranges(forest: dict[str, np.ndarray], x: np.ndarray, ids: np.ndarray, each: int, depth: int):
+    """Nodes (tree * width + place in the level) of one level that rows reach in
+    their own trees: how many do, and the lowest and highest of each of their statistics."""
+    trees, width = len(forest["feature"]), 2 ** depth
+    tree = own_trees(ids, each, trees).ravel().astype(np.int64)
+    row, node = np.repeat(np.arange(len(x)), each), np.zeros(len(tree), np.int64)
+    for _ in range(depth):
+        f = forest["feature"][tree, node]
+        node = np.where(f < 0, node, 2 * node + 1 + (x[row, f] > forest["value"][tree, node]))
+    here = np.flatnonzero(node >= width - 1)  # the others ended in a leaf above
+    place = tree[here] * width + node[here] - (width - 1)
+    if not len(here):
+        return None
+    order = np.argsort(place, kind="stable")
+    place, part = place[order], x[row[here[order]]]
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return (place[first], np.diff(first, append=len(place)),
+            np.minimum.reduceat(part, first), np.maximum.reduceat(part, first))
+
+
+def split_level(forest: dict[str, np.ndarray], depth: int, place: np.ndarray, count: np.ndarray,
+                low: np.ndarray, high: np.ndarray, seed: int = 7) -> None:
+    """Split the nodes of one level at random inside their ranges; those of one
+    value or at the last level become leaves."""
+    width = 2 ** depth
+    shape = (len(forest["feature"]), width)
+    which, where = np.random.default_rng((seed, depth)).random((2, *shape))
+    tree, node = place // width, place % width + width - 1
+    which, where = which[tree, place % width], where[tree, place % width]
+    able = high > low
+    n = able.sum(1)
+    leaf = (n == 0) | (depth == DEPTH)
+    forest["path"][tree[leaf], node[leaf]] = depth + usual_path(count[leaf])
+    f = np.argmax(np.cumsum(able, 1) > np.floor(which * n)[:, None], 1)  # the chosen one of the able
+    row = np.arange(len(place))
+    v = low[row, f] + where * (high[row, f] - low[row, f])
+    forest["feature"][tree[~leaf], node[~leaf]] = f[~leaf]
+    forest["value"][tree[~leaf], node[~leaf]] = v[~leaf]
+
+
+def usual_of(rows: int, each: int, trees: int) -> np.ndarray:
+    """The usual path in a tree of the mean size."""
+    return np.array(float(max(usual_path(max(rows * each / trees, 2)), 1e-9)))
+
+
+def grow_forest(x: np.ndarray, trees: int = TREES, rows: int | None = None) -> dict[str, np.ndarray]:
+    """A forest of the rows of one array (its first ``rows``), numbered as ids."""
+    x, forest = x[:rows], bare_forest(trees)
+    each = trees_a_row(len(x), trees)
+    for depth in range(DEPTH + 1):
+        found = node_ranges(forest, x, np.arange(len(x)), each, depth)
+        if found:
+            split_level(forest, depth, *found)
+    forest["usual"] = usual_of(len(x), each, trees)
+    return forest
 
 
 def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
@@ -134,19 +193,17 @@ def anomaly(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return 2.0 ** (-total / len(forest["feature"]) / forest["usual"])
 
 
-def calibrate(score: np.ndarray, quality: np.ndarray) -> float:
+def calibrate(good: np.ndarray, bad: np.ndarray, least: np.ndarray, most: np.ndarray) -> float:
     """The threshold (above it: rejected) with the best balanced accuracy among
-    those that reject at most ``GOOD_LOST`` of the good rows."""
-    good, bad = np.sort(score[quality == 1]), np.sort(score[quality == 0])
-    if not len(good) or not len(bad):
+    those that reject at most ``GOOD_LOST`` of the good rows: good and bad rows,
+    least and greatest score of each bin that has any, in order."""
+    if not good.sum() or not bad.sum():
         return float("inf")
-    floor = good[min(len(good) - 1, int(np.ceil((1 - GOOD_LOST) * len(good))) - 1)]
-    edges = np.unique(np.concatenate([[floor], score[score >= floor]]))
-    lost = 1 - np.searchsorted(good, edges, side="right") / len(good)
-    found = 1 - np.searchsorted(bad, edges, side="right") / len(bad)
-    best = int(np.argmax(found - lost))
-    above = score[score > edges[best]]
-    return float((edges[best] + above.min()) / 2) if len(above) else float(edges[best])
+    kept, n = np.cumsum(good), int(good.sum())
+    floor = int(np.searchsorted(kept, max(int(np.ceil((1 - GOOD_LOST) * n)), 1)))
+    balance = kept / n - np.cumsum(bad) / bad.sum()
+    best = floor + int(np.argmax(balance[floor:]))
+    return float((most[best] + least[best + 1]) / 2) if best + 1 < len(most) else float(most[best])
 
 
 # --- the operator ------------------------------------------------------------
@@ -161,30 +218,82 @@ def rule_counts(docs: DataFrame) -> DataFrame:
         F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"))
 
 
+def _statistics(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(STATISTICS))
+
+
+_RANGES = [f"{end}{i}" for end in ("low", "high") for i in range(len(STATISTICS))]
+
+
+def _range_batches(forest: dict, each: int, depth: int, batches):
+    def found():
+        got = node_ranges(forest, np.concatenate(parts), np.concatenate(ids), each, depth)
+        ids.clear()
+        parts.clear()
+        if got:
+            place, count, low, high = got
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(count.astype(np.int64)), *map(pa.array, low.T),
+                                              *map(pa.array, high.T)], ["place", "n", *_RANGES])
+
+    ids, parts = [], []
+    for batch in batches:
+        ids.append(pc.fill_null(batch.column("doc_id"), 0).to_numpy(zero_copy_only=False))
+        parts.append(_statistics(batch.column("stats")))
+        if sum(map(len, parts)) * each >= GATHER:
+            yield from found()
+    if parts:
+        yield from found()
+
+
+def grow_on_all(able: DataFrame) -> dict[str, np.ndarray] | None:
+    """The forest of all rows of ``able`` (doc_id, stats); None for fewer than two rows."""
+    n = able.count()
+    if n < 2:
+        return None
+    forest, each = bare_forest(), trees_a_row(n, TREES)
+    schema = ", ".join(["place long, n long", *(f"{c} double" for c in _RANGES)])
+    ends = [(F.min if c.startswith("low") else F.max)(c).alias(c) for c in _RANGES]
+    for depth in range(DEPTH + 1):
+        reached = able.select("doc_id", "stats").mapInArrow(functools.partial(_range_batches, forest, each, depth), schema)
+        rows = reached.groupBy("place").agg(F.sum("n").alias("n"), *ends).orderBy("place").collect()  # at most a row per node
+        if rows:
+            split_level(forest, depth, np.array([r.place for r in rows]), np.array([r.n for r in rows]),
+                        *np.split(np.array([r[2:] for r in rows]), 2, axis=1))
+    forest["usual"] = usual_of(n, each, TREES)
+    return forest
+
+
+def _label_batches(forest: dict, batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(anomaly(forest, _statistics(batch.column("stats"))))],
+                                         ["quality", "score"])
+
+
 def fit_forest(counted: DataFrame, labelled: DataFrame) -> dict:
-    """Forest and threshold, from documents that pass the base rules.
+    """Forest and threshold, from all documents that pass the base rules.
 
     ``labelled``: doc_id, quality; the held-out fifth and null rows are left
     out.  Without rows to learn from nothing is rejected."""
     able = counted.filter("NOT base_failed").select("doc_id", "stats")
-    sample = bounded_sample(able, MAX_SAMPLE, "stats").collect()
-    if len(sample) < 2:
+    forest = grow_on_all(able)
+    if forest is None:
         return {"forest": None, "threshold": float("inf")}
-    forest = grow_forest(np.array([r.stats for r in sample]))
     rows = labelled.select(labelled["doc_id"].cast("bigint").alias("doc_id"), labelled["quality"].cast("int").alias("quality"))
     usable = rows.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~held_out())
-    marks = bounded_sample(usable, MAX_LABELLED, "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = able.join(F.broadcast(marks), "doc_id").select("quality", "stats").collect()  # at most MAX_LABELLED marks
-    if not known:
-        return {"forest": forest, "threshold": float("inf")}
-    score = anomaly(forest, np.array([r.stats for r in known]))
-    return {"forest": forest, "threshold": calibrate(score, np.array([r.quality for r in known]))}
+    marks = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    scored = able.join(marks, "doc_id").select("quality", "stats").mapInArrow(
+        functools.partial(_label_batches, forest), "quality int, score double")
+    bins = scored.groupBy(F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).alias("bin")).agg(
+        F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad"),
+        F.min("score").alias("least"), F.max("score").alias("most"))
+    known = np.array([tuple(r)[1:] for r in bins.orderBy("bin").collect()], float).reshape(-1, 4)  # at most BINS rows
+    return {"forest": forest, "threshold": calibrate(*known.T)}
 
 
 def _score_batches(model: dict, batches):
     for batch in batches:
         at = batch.schema.get_field_index("stats")
-        x = batch.column(at).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(STATISTICS))
+        x = _statistics(batch.column(at))
         score = anomaly(model["forest"], x) if model["forest"] is not None else np.zeros(len(x))
         rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
         names = [n for i, n in enumerate(batch.schema.names) if i != at]

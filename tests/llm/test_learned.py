@@ -110,6 +110,27 @@ def test_forest_paths():
     assert R.anomaly(far, np.array([[50.0, 50, 50]]))[0] > R.anomaly(far, x).max()
 
 
+def test_the_forest_and_threshold_come_from_all_rows(spark):
+    """More rows than any sample held: each grows a tree, each label counts for the threshold."""
+    n = 30_000
+    rng = "(hash(id, {0}) % 1000) / 1000D"
+    stats = "array(" + ", ".join(rng.format(i) for i in range(4)) + ")"
+    rows = spark.range(n).selectExpr("id AS doc_id", f"IF(id = {n - 1}, array(9D, 9D, 9D, 9D), {stats}) AS stats", "false AS base_failed")
+    forest = R.grow_on_all(rows)
+    x = np.array([r.stats for r in rows.collect()])
+    same = R.grow_forest(x)
+    assert all(np.array_equal(forest[k], same[k]) for k in forest)
+    assert sorted(set(R.own_trees(np.arange(n), 1, R.TREES).ravel())) == list(range(R.TREES))
+    odd = int(R.own_trees(np.array([n - 1]), 1, R.TREES)[0, 0])  # the odd row is in a tree, whichever it is
+    assert R.node_ranges(forest, x, np.arange(n), 1, 0)[3][odd].tolist() == [9.0] * 4
+    marks = spark.range(n).selectExpr("id AS doc_id", f"CAST(id < {n - 400} AS int) AS quality")
+    got = R.fit_forest(rows, marks)["threshold"]
+    score = R.anomaly(forest, x)
+    known = [r.doc_id for r in marks.filter(~R.held_out()).collect()]
+    good = [score[i] for i in known if i < n - 400]
+    assert np.mean([s > got for s in good]) <= R.GOOD_LOST
+
+
 def _leaf(f, v, z):
     node = 0
     while f[node] >= 0:
