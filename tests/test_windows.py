@@ -47,3 +47,14 @@ def test_stored_rows_are_compressed_in_the_shared_folder(spark):
     folder = back.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
     assert folder.startswith(ensure_checkpoint_dir(spark).replace("file:", ""))
     assert sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder)) < 200_000  # a row's checkpoint takes more than 16 bytes
+
+
+def test_get_model_shuffles_windows_only(spark, sf):
+    from corpusgrams.plans import all_queries
+
+    got = all_queries()["get_model"](spark, sf)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ngram" not in plan and "REPARTITION_BY_COL" in plan
+    one = got.agg(F.count(F.lit(1)), F.countDistinct("ngram"), F.min("total_ngrams"), F.max("total_ngrams")).first()
+    toks = tk.corpus_tokens(src.corpus_lines(spark, sf), keep=())
+    assert one[0] == one[1] and one[2] == one[3] == toks.agg(F.sum(F.size("tokens"))).first()[0]
