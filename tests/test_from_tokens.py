@@ -38,3 +38,19 @@ def test_back_off_weights_move_windows_once(spark, sf):
     text = plan(all_queries()["katz_alpha"](spark, sf))
     moved = [x.split("hashpartitioning(")[1] for x in text.split("\n") if "Exchange hashpartitioning(" in x]
     assert "REPARTITION_BY_COL" in text and not any("begins#" in x or "ends#" in x for x in moved)  # no join by words
+
+
+def test_ids_are_looked_up_once_a_token(spark, sf, lines):
+    from corpusgrams.operators import model as M
+    from corpusgrams.operators import relabel
+    from corpusgrams.plans import all_queries
+
+    counts = tk.ngram_counts(lines)
+    vocab = M.vocabulary(counts)
+    got = relabel.encoded(relabel.id_windows(tk.corpus_tokens(lines, keep=()), vocab))
+    want = M.encode_ngrams(counts, vocab)
+    assert got.columns == want.columns and [t for _, t in got.dtypes] == [t for _, t in want.dtypes]
+    assert rows(got) == rows(want) and got.count() > 0
+    text = plan(all_queries()["encoded_model"](spark, sf))
+    moved = [x.split("hashpartitioning(")[1] for x in text.split("\n") if "Exchange hashpartitioning(" in x]
+    assert not any("begins#" in x or "ends#" in x or "gram#" in x for x in moved)
