@@ -54,3 +54,18 @@ def test_ids_are_looked_up_once_a_token(spark, sf, lines):
     text = plan(all_queries()["encoded_model"](spark, sf))
     moved = [x.split("hashpartitioning(")[1] for x in text.split("\n") if "Exchange hashpartitioning(" in x]
     assert not any("begins#" in x or "ends#" in x or "gram#" in x for x in moved)
+
+
+@pytest.mark.parametrize("prop", [0.0, 0.4, 0.8, 1.0])
+def test_rare_words_go_before_ngrams_are_formed(spark, sf, lines, prop):
+    from corpusgrams.operators import model as M
+    from corpusgrams.operators import relabel
+    from corpusgrams.plans import all_queries
+
+    lines = lines.unionByName(lines.limit(1).withColumn("text", F.lit("__unk__ a zz zz q")))
+    counts = tk.ngram_counts(lines)
+    rare, _ = M.rare_words(counts, prop)
+    tokens = relabel.trimmed(tk.corpus_tokens(lines, keep=()), rare)
+    got = tk.count_windows(tk.token_windows(tokens, 1, 5), [1, 2, 3, 4, 5])
+    assert rows(got) == rows(M.trim_unknown(counts, prop).select(*got.columns)) and got.count() > 0
+    assert "array_contains(_ws" not in plan(all_queries()["trim_unk"](spark, sf))  # no model row is taken apart
