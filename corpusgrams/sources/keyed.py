@@ -34,9 +34,10 @@ def store_keyed(counts: DataFrame, table: str, buckets: int | None = None, path:
     hundred MB.  A context's rows share a bucket: at most one per word."""
     spark = counts.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = counts.select(context_of().alias("context"), *STORED[1:])
+    # dealt by the context, which is told again from the row behind the exchange: its words move once
+    rows = counts.select(*STORED[1:]).repartition(n, context_of()).select(context_of().alias("context"), *STORED[1:])
     writer = (
-        rows.repartition(n, "context").write.mode("overwrite").format("parquet")
+        rows.write.mode("overwrite").format("parquet").option("compression", "zstd")
         .bucketBy(n, "context").sortBy("context", "ends")
     )
     if path:
