@@ -15,7 +15,8 @@ def plan(df):
 
 
 def dealt_by(text):
-    return [x.split("hashpartitioning(")[1].split(")")[0] for x in text.split("\n") if "Exchange hashpartitioning(" in x]
+    return [x.split("hashpartitioning(")[1].split(")")[0] for x in text.split("== Initial Plan")[0].split("\n")
+            if "Exchange hashpartitioning(" in x]
 
 
 @pytest.mark.parametrize("name", ["bigram_freq", "top20_bigrams_filtered", "top20_trigrams"])
