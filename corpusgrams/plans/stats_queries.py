@@ -332,7 +332,8 @@ def chunk_fivegram_counts(spark, sf):
     ls = lines(spark, sf)
     x = O.global_row_number(ls, ["doc_id", "line_no"], "_rn")
     x = C.clean_text(x.withColumn("bucket", F.col("_rn") % 1000))
-    g = tk.line_ngrams(x, 5, keep=("bucket",))
+    # nearly every one is the only one of its chunk: dealt out as they are, not combined before
+    g = tk.line_ngrams(x, 5, keep=("bucket",)).select("bucket", "ngram").repartition("bucket", "ngram")
     return A.count_by(g, ["bucket", "ngram"], "ngram_count")
 
 
