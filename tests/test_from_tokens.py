@@ -69,3 +69,22 @@ def test_rare_words_go_before_ngrams_are_formed(spark, sf, lines, prop):
     got = tk.count_windows(tk.token_windows(tokens, 1, 5), [1, 2, 3, 4, 5])
     assert rows(got) == rows(M.trim_unknown(counts, prop).select(*got.columns)) and got.count() > 0
     assert "array_contains(_ws" not in plan(all_queries()["trim_unk"](spark, sf))  # no model row is taken apart
+
+
+def test_the_keyed_store_is_zstd(spark, lines):
+    from corpusgrams.sources import keyed
+
+    counts = tk.ngram_counts(lines)
+    model = keyed.store_in_shared_folder(counts, 4)
+    assert model.columns == keyed.STORED and all(".zstd." in f for f in model.inputFiles())
+    assert rows(model.select(*counts.columns)) == rows(counts)
+
+
+def test_words_of_positions_do_not_move_beside_their_ngram(spark):
+    from corpusgrams.operators import counts as A
+
+    df = spark.createDataFrame([("a b a", 3), ("a b c", 1), ("b b a", 2)], "ngram string, n long")
+    got = A.positional_counts(df, "ngram", 3)
+    assert got.columns == ["word3", "word2", "word1", "ngram", "n", "word1_count", "word2_count", "word3_count"]
+    assert rows(got.select("ngram", "word1_count", "word2_count", "word3_count")) == [("a b a", 2, 3, 2), ("a b c", 2, 3, 1), ("b b a", 1, 3, 2)]
+    assert len({f.rsplit("/", 1)[0] for f in got.inputFiles()}) == 2  # the rows and the totals of all positions
