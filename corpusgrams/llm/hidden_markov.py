@@ -49,7 +49,7 @@ TAIL = 4096  # classes of all other words
 SHARES = (1,) * 10  # Baum-Welch steps: one text in so many takes part
 PRIOR = 1.0  # weight of the corpus's own class shares in a state's, in tokens
 BLOCK_BYTES = 8 << 20
-BATCH_TOKENS, BATCH_TEXTS = 150_000, 160  # the recursions' batches: so many tokens or, if more, so many texts
+BATCH_TOKENS, BATCH_TEXTS = 75_000, 160  # the recursions' batches: so many tokens or, if more, so many texts
 HELD_TOKENS = 6_000_000  # tokens that a task gathers before it cuts them into batches
 RESCALE = 8  # tokens between two rescalings; P(class | state) is far above 1e-38
 
@@ -232,11 +232,30 @@ def time_major(classes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, begin, order
 
 
-def forward(model: Model, emitted: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Workspace:
+    """Arrays that one batch after another is worked out in: fresh ones cost their pages each time.
+
+    Only batches of up to ``most`` tokens are kept room for."""
+
+    def __init__(self, most: int = 200_000):
+        self.most, self.held = most, {}
+
+    def __call__(self, name: str, shape: tuple[int, int]) -> np.ndarray:
+        n = shape[0] * shape[1]
+        if max(shape) > self.most:
+            return np.empty(shape)
+        if name not in self.held or len(self.held[name]) < n:
+            self.held[name] = np.empty(n)
+        return self.held[name][:n].reshape(shape)
+
+
+def forward(model: Model, emitted: np.ndarray, begin: np.ndarray,
+            room: Workspace | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Scaled forward recursion over time-major tokens, ``emitted`` = P(class | state)
     of each: the scaled values, and the logarithm (base 10) of what each token's
     values were divided by.  Values are rescaled every ``RESCALE`` tokens."""
-    values, scale, one = np.empty_like(emitted), np.zeros(len(emitted)), np.ones(len(model.start))
+    values = (room or Workspace())("alpha", emitted.shape)
+    scale, one = np.zeros(len(emitted)), np.ones(len(model.start))
     ends = begin.tolist()
     for t, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
         now = values[a:b]
@@ -252,14 +271,18 @@ def forward(model: Model, emitted: np.ndarray, begin: np.ndarray) -> tuple[np.nd
     return values, scale
 
 
-def backward(model: Model, emitted: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Backward values of time-major tokens, each text's up to a factor a token."""
-    values = np.ones_like(emitted)
+def backward(model: Model, emitted: np.ndarray, begin: np.ndarray, room: Workspace | None = None,
+             ahead: np.ndarray | None = None) -> np.ndarray:
+    """Backward values of time-major tokens, each text's up to a factor a token;
+    ``ahead`` gets their products with ``emitted`` (but of the first tokens)."""
+    values = (room or Workspace())("beta", emitted.shape)
+    values.fill(1.0)
+    ahead = np.empty_like(emitted) if ahead is None else ahead
     ends, turned, one = begin.tolist(), np.ascontiguousarray(model.move.T), np.ones(len(model.start))
     for t in range(len(ends) - 3, -1, -1):
         a, b, c = ends[t:t + 3]
         now = values[a:a + c - b]  # of the texts that go on
-        np.dot(emitted[b:c] * values[b:c], turned, out=now)
+        np.dot(np.multiply(emitted[b:c], values[b:c], out=ahead[b:c]), turned, out=now)
         if t % RESCALE == 0:
             now /= (now @ one)[:, None]
     return values
@@ -276,25 +299,34 @@ def log_likelihood(model: Model, classes: np.ndarray, size: np.ndarray) -> np.nd
     return out
 
 
-def baum_welch(model: Model, classes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def baum_welch(model: Model, classes: np.ndarray, size: np.ndarray,
+               room: Workspace | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts of start (S), move (S, S), emit (classes, S)."""
+    room = room or Workspace()
     n_classes, states = model.emit.shape
     if not len(classes):
         return np.zeros(states), np.zeros((states, states)), np.zeros((n_classes, states))
     tokens, begin, _ = time_major(classes, size)
-    emitted = np.take(model.emit, tokens, axis=0)
-    alpha, beta = forward(model, emitted, begin)[0], backward(model, emitted, begin)
+    shape = (len(tokens), states)
+    emitted, ahead = np.take(model.emit, tokens, axis=0, out=room("emitted", shape), mode="clip"), room("ahead", shape)
+    (alpha, scale), beta = forward(model, emitted, begin, room), backward(model, emitted, begin, room, ahead)
     # moves: from each token that is not its text's last to the next one
     n_next = np.diff(begin)[1:]
     here = np.arange(int(n_next.sum())) + np.repeat(begin[:-2] - (np.cumsum(n_next) - n_next), n_next)
-    ahead = emitted[begin[1]:] * beta[begin[1]:]
-    before = np.take(alpha, here, axis=0)
-    before /= np.einsum("ns,ns->n", before @ model.move, ahead)[:, None]
-    moved = before.T @ ahead * model.move
+    before = np.take(alpha, here, axis=0, out=room("before", (len(here), states)), mode="clip")
     alpha *= beta
-    alpha /= (alpha @ np.ones(states))[:, None]  # the states' probabilities given the whole text
-    emit = np.stack([np.bincount(tokens, weights=x, minlength=n_classes) for x in np.ascontiguousarray(alpha.T)], axis=1)
-    return alpha[:int(begin[1])].sum(0), moved, emit
+    share = 1 / (alpha @ np.ones(states))
+    # a token's forward values times what they were divided by are those of the token before, moved, times ``emitted``
+    first, undo = int(begin[1]), share.copy()
+    scaled = np.flatnonzero(scale)
+    undo[scaled] /= 10.0 ** scale[scaled]
+    before *= undo[first:, None]
+    moved = before.T @ ahead[first:] * model.move
+    alpha *= share[:, None]  # the states' probabilities given the whole text
+    turned = room("beta", shape[::-1])  # no longer needed
+    np.copyto(turned, alpha.T)
+    emit = np.stack([np.bincount(tokens, weights=x, minlength=n_classes) for x in turned], axis=1)
+    return alpha[:first].sum(0), moved, emit
 
 
 def next_model(start: np.ndarray, move: np.ndarray, emit: np.ndarray, shares: np.ndarray) -> Model:
@@ -366,12 +398,12 @@ def training_texts(classed: DataFrame, share: int = 1) -> DataFrame:
 
 def _expected(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n_classes, states = model.emit.shape
-    total = np.zeros((n_classes + states + 1, states))  # classes, moves, start
+    total, room = np.zeros((n_classes + states + 1, states)), Workspace()  # classes, moves, start
     for batch in batches:
         for row in batch.to_pylist():
             size, classes = _texts(row)
             for part in batches_of_texts(size):
-                start, move, emit = baum_welch(model, take_texts(classes, size, part).astype(np.int64), size[part])
+                start, move, emit = baum_welch(model, take_texts(classes, size, part).astype(np.int64), size[part], room)
                 total[:n_classes] += emit
                 total[n_classes:-1] += move
                 total[-1] += start

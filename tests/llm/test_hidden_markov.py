@@ -222,3 +222,15 @@ def test_every_step_reads_all_training_texts(spark, monkeypatch):
     monkeypatch.setattr(H, "expected_counts", counting)
     H.score_documents(docs, F.col("doc_id") % 4 != 0, 2, 5, 5).collect()
     assert seen == [30] * len(H.SHARES) and len(seen) == 10
+
+
+def test_batches_share_their_arrays():
+    """One workspace for batches of any size gives what fresh arrays give, and is no larger than its bound."""
+    rng = np.random.default_rng(3)
+    m, room = H.first_model(rng.integers(1, 9, 6), 3), H.Workspace(60)
+    for _ in range(5):
+        size = rng.integers(1, 40, 4)
+        classes = rng.integers(0, 6, size.sum())
+        for one, other in zip(H.baum_welch(m, classes, size, room), H.baum_welch(m, classes, size)):
+            np.testing.assert_allclose(one, other, rtol=1e-12)
+    assert room.held and all(len(x) <= 60 * 3 for x in room.held.values())
