@@ -93,3 +93,16 @@ def test_occurrences_go_before_the_aggregate(spark):
     plan = plain(PF.counts_for_grams(lines_of(spark, TEXTS), grams(spark, ASKED), ORDERS))
     assert plan.index("Exchange") < plan.index("getbit") if "getbit" in plan else plan.index("Exchange") < plan.index("bit_get")
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_bitmap_of_many_keys_stays_mostly_unset(spark):
+    """Half a megabyte is too little for millions of asked contexts: nearly every n-gram would pass."""
+    assert [PF.bits_for(n) for n in (0, 1, 1 << 18)] == [PF.BITS] * 3
+    assert PF.bits_for((1 << 18) + 1) == 1 << 23 and PF.bits_for(10**9) == PF.MOST_BITS
+    n = 1_000_000
+    bits = PF.bits_for(n)
+    keys = spark.range(n).selectExpr("cast(id as string) as k")
+    bitmap = PF.asked_bits(keys, bits)
+    others = spark.range(n, n + 100_000).selectExpr("cast(id as string) as k")
+    assert keys.filter(~PF.may_be_asked(bitmap, keys["k"], bits=bits)).count() == 0
+    assert others.filter(PF.may_be_asked(bitmap, others["k"], bits=bits)).count() < 10_000
