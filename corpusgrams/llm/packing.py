@@ -32,7 +32,8 @@ from .common import documents, id_and_text, small_arrow_batches, text_slices
 
 LENGTH = 4096
 MEET_TASKS = 128
-MEMORY = 300_000  # words, and as many letter runs, that a Python worker remembers (twice that while they are sorted out)
+SLICE = 1 << 20  # bytes of text whose words a Python worker splits at a time
+MEMORY = 100_000  # words, and as many letter runs, that a Python worker remembers (twice that while they are sorted out)
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary, task long")
@@ -266,7 +267,7 @@ def _pack_partition(tokens: Callable[[list[str]], list[bytes]] | str, end: bytes
     task = TaskContext.get().partitionId()
     packer, number = LevelPacker(size), task << 32
     for batch in batches:
-        for s in text_slices(batch):
+        for s in text_slices(batch, SLICE):
             full: list[list[Piece]] = []
             for doc, ids in zip(s.column("doc_id").to_pylist(), to_ids(s.column("text").to_pylist())):
                 ids += end
