@@ -92,8 +92,7 @@ def delete_table(spark: SparkSession, path: str) -> None:
 @contextlib.contextmanager
 def freed_tables(spark: SparkSession) -> Iterator[None]:
     """Tables that ``saved_table`` writes in this block are deleted at its end;
-    what is read from them must be written by then.  Plans that nobody holds any
-    more are collected, so that Spark drops their shuffle files too."""
+    what is read from them must be written by then."""
     paths: list[str] = []
     token = _private.set(paths)
     try:
@@ -102,8 +101,14 @@ def freed_tables(spark: SparkSession) -> Iterator[None]:
         _private.reset(token)
         for path in paths:
             delete_table(spark, path)
-        gc.collect()
-        spark._jvm.System.gc()
+        drop_unused(spark)
+
+
+def drop_unused(spark: SparkSession) -> None:
+    """Plans that nobody holds any more are collected, so that Spark drops their shuffle
+    files and checkpoints: between rounds that each write many small ones."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def without(table: DataFrame, gone: DataFrame, key: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.prefilter import asked_bits, may_be_asked
 from ..session import cut_lineage
-from .common import FILTER_BITS, documents, fresh, saved_table, small_arrow_batches, text_slices, without
+from .common import FILTER_BITS, documents, drop_unused, fresh, saved_table, small_arrow_batches, text_slices, without
 from .words import Words
 
 SHINGLE = 5
@@ -45,6 +45,7 @@ SIMILAR = 0.8
 GROWTH = 8
 BANDS, COMPONENTS = 24, 120  # a pair of similarity 0.8 shares a bucket with probability 0.9999
 GROUPS = 512  # a power of two
+SLICE = 1 << 20  # bytes of text that a task has shingles of at a time
 
 
 # --- shingles and signatures (numpy, inside tasks) ------------------------------------
@@ -138,7 +139,7 @@ def _lists(x: np.ndarray, some: np.ndarray) -> pa.ListArray:
 def _sign_batches(batches):
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        for s in text_slices(batch):
+        for s in text_slices(batch, SLICE):
             of, element, _ = shingles(s.column(at))
             signature = signatures(of, element, np.ones(len(of)), s.num_rows)
             n = np.bincount(of, minlength=s.num_rows)
@@ -151,7 +152,7 @@ def _sign_batches(batches):
 
 def _shingle_batches(batches):
     for batch in batches:
-        for s in text_slices(batch):
+        for s in text_slices(batch, SLICE):
             of, element, _ = shingles(s.column("text"))
             cut = np.searchsorted(of, np.arange(s.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cut), pa.array(element.view(np.int64)))
@@ -234,6 +235,8 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
         if not new.filter("label <> before").take(1):
             return labels
+        del around, lower, top, new
+        drop_unused(links.sparkSession)
 
 
 class Links:
@@ -282,6 +285,7 @@ def _link_buckets(buckets: DataFrame, texts: DataFrame, known: Links) -> None:
             .filter("low <> high").select("key", "centres"))
         if not centres.take(1):
             return
+        drop_unused(buckets.sparkSession)  # what the round before and the labels wrote
         met = now.join(centres, "key")
         able = F.filter("centres", lambda c: (c["class"] != F.col("class"))
                         & (F.least("n", c["n"]) >= SIMILAR * F.greatest("n", c["n"]))  # else their similarity is lower
