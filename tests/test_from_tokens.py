@@ -88,3 +88,44 @@ def test_words_of_positions_do_not_move_beside_their_ngram(spark):
     assert got.columns == ["word3", "word2", "word1", "ngram", "n", "word1_count", "word2_count", "word3_count"]
     assert rows(got.select("ngram", "word1_count", "word2_count", "word3_count")) == [("a b a", 2, 3, 2), ("a b c", 2, 3, 1), ("b b a", 1, 3, 2)]
     assert len({f.rsplit("/", 1)[0] for f in got.inputFiles()}) == 2  # the rows and the totals of all positions
+
+
+def test_id_labels_are_in_the_ids_order(spark):
+    from corpusgrams.operators import relabel
+
+    ids = [0, 1, 9, 10, 35, 36, 71, 1295, 1296, 2**31, 2**40]
+    df = spark.createDataFrame([(i,) for i in ids], "i long").select("i", relabel.id_label(F.col("i")).alias("l"))
+    got = df.select("i", "l", relabel.id_of_label(F.col("l")).cast("long").alias("back")).collect()
+    assert all(r.back == r.i and min(r.l) > " " for r in got)
+    assert [r.i for r in sorted(got, key=lambda r: r.l)] == ids
+
+
+def test_all_orders_of_ids_share_one_exchange(lines):
+    import re
+
+    from corpusgrams.operators import model as M
+    from corpusgrams.operators import relabel
+
+    windows = relabel.id_windows(tk.corpus_tokens(lines, keep=()), M.vocabulary(tk.ngram_counts(lines)))
+    text = relabel.encoded(windows)._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [re.sub(r"#\d+L?", "", x.lstrip(" :+-")) for x in text.split("\n")]
+    below = [tuple(nodes[i:i + 3]) for i, x in enumerate(nodes) if x.startswith("RepartitionByExpression")]
+    assert len(below) == 5 and len(set(below)) == 1  # no order leaves columns out below its exchange
+
+
+@pytest.mark.parametrize("slots", [1, 8, 1 << 16])
+def test_frequent_words_do_not_move_for_their_labels(spark, lines, monkeypatch, slots):
+    from corpusgrams.operators import model as M
+    from corpusgrams.operators import relabel
+
+    monkeypatch.setattr(relabel, "SLOTS", slots)
+    tokens = tk.corpus_tokens(lines, keep=())
+    words = M.counted_vocabulary(tk.ngram_counts(lines)).select(F.col("word").alias("ngram"), F.col("node").alias("wid"), "ngram_count")
+    arrays = relabel.numbered_arrays(tokens)
+    got = relabel.labelled(arrays, words, F.col("wid"))
+    each = arrays.select("sid", F.posexplode(F.split("words", " ")).alias("at", "ngram"))
+    assert rows(got) == rows(each.join(words, "ngram").select("sid", "at", "wid")) and got.count() > 0
+    held = relabel.frequent_labels(words.select(F.col("ngram").alias("word"), F.col("wid").alias("label"), F.col("ngram_count").alias("times")))
+    top = max(words.collect(), key=lambda r: (r.ngram_count, r.ngram))
+    assert held.select(F.size("slots").alias("n")).first().n == slots
+    assert (top.ngram, top.wid) in {tuple(x) for x in held.first().slots}
