@@ -106,3 +106,16 @@ def test_a_bitmap_of_many_keys_stays_mostly_unset(spark):
     others = spark.range(n, n + 100_000).selectExpr("cast(id as string) as k")
     assert keys.filter(~PF.may_be_asked(bitmap, keys["k"], bits=bits)).count() == 0
     assert others.filter(PF.may_be_asked(bitmap, others["k"], bits=bits)).count() < 10_000
+
+
+def test_many_asked_strings_and_contexts_let_few_others_through(spark):
+    lines = lines_of(spark, [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(50)])
+    many = spark.range(600_000).selectExpr("concat('z', id) as s")
+    asked = many.union(spark.createDataFrame([("w3x4 w3x5",), ("w0x0",), (None,)], "s string"))
+    got = PF.counts_of_strings(lines, asked, [1, 2])
+    assert got.count() < 600  # of 20,000; a bitmap of half a megabyte lets 2,700 through
+    assert {("w3x4", "w3x5", 1), ("w0x0", "w0x0", 1)} <= {(r.begins, r.ends, r.ngram_count) for r in got.collect()}
+    contexts = many.select(F.lit(2).alias("order"), F.col("s").alias("begins")).union(
+        spark.createDataFrame([(2, "w3x4"), (2, None)], "order int, begins string"))
+    got = PF.counts_of_contexts(lines, contexts, [2])
+    assert got.count() < 100 and ("w3x4", "w3x5", 1) in {(r.begins, r.ends, r.ngram_count) for r in got.collect()}
