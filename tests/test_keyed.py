@@ -95,3 +95,38 @@ def test_store_replaces_and_takes_empty_models(spark, counts, tmp_dir):
     assert K.store_keyed(counts.limit(0), name, 2, f"{tmp_dir}/m").count() == 0
     assert K.open_keyed(spark, name).columns == K.STORED
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_model_of_each_order_is_stored_where_it_was_counted(spark, sf, counts, grams):
+    lines = src.corpus_lines(spark, sf)
+    led = K.store_in_shared_folder(tk.model_by_order(lines, 3), 8)
+    assert led.columns == K.LED
+    assert sorted(map(tuple, led.select("order", "begins", "ends", "ngram_count").collect())) == sorted(map(tuple, counts.collect()))
+    assert led.selectExpr("context", "lead").distinct().groupBy("context").count().filter("count > 1").count() == 0
+    want = M.next_word_backoff(grams, counts, KEY, k=4, longest_only=True)
+    got = K.stored_next_words(grams, led, KEY, 4)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    one = K.rows_of_contexts(led, ["the", "__bos__ the"])
+    assert one.count() == counts.filter("order > 1 and begins in ('the', '__bos__ the')").count() > 0
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from corpusgrams.operators import ranking as W
+        from pyspark.sql import functions as F
+
+        assert "Exchange" not in plan(W.top_k(led, ["lead", "context"], [F.col("ngram_count").desc(), F.col("ends")], 3))
+        text = plan(K.stored_next_words(grams, led, KEY, 4))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    for at in (i for i, x in enumerate(text.split("\n")) if "Bucketed: true" in x):  # the rank is taken in the buckets
+        parents = below("\n".join(text.split("\n")[:at + 1]), "Bucketed: true")
+        first = next((i for i, x in enumerate(parents) if "Exchange" in x), len(parents))
+        assert any("Window" in x for x in parents[:first])
+
+
+def test_the_query_deals_only_order_two_out_again(spark, sf):
+    from corpusgrams.plans import all_queries
+
+    text = all_queries()["stored_next_words"](spark, sf)._jdf.queryExecution().analyzed().toString()
+    read = [x for x in text.split("\n") if "Relation spark_catalog" in x and "model_" in x]
+    assert read and all("[lead#" in x for x in read)
