@@ -58,3 +58,22 @@ def test_get_model_shuffles_windows_only(spark, sf):
     one = got.agg(F.count(F.lit(1)), F.countDistinct("ngram"), F.min("total_ngrams"), F.max("total_ngrams")).first()
     toks = tk.corpus_tokens(src.corpus_lines(spark, sf), keep=())
     assert one[0] == one[1] and one[2] == one[3] == toks.agg(F.sum(F.size("tokens"))).first()[0]
+
+
+def test_the_stored_model_is_that_of_the_windows(lines):
+    for n in (1, 2, 3, 5):
+        got, want = tk.stored_counts(lines, n), tk.ngram_counts(lines, 1, n)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 0
+    assert tk.stored_counts(lines.limit(0)).count() == 0
+
+
+def test_queries_that_read_the_model_twice_write_windows(spark, sf):
+    """A row a different window, not a row an n-gram, and no shuffle of orders 2 and up to read it again."""
+    from corpusgrams.plans.stats_queries import counts
+
+    model = counts(spark, sf)
+    written = spark.read.parquet(*model.inputFiles())
+    assert written.columns == ["pair", "window", "n"] and written.count() < 0.5 * model.count()
+    text = model._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1  # that of single words
