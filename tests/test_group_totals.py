@@ -69,3 +69,21 @@ def test_contractions_are_split_where_the_search_finds_them(spark):
 def test_chunks_of_an_ngram_are_counted_in_one_exchange(spark, sf):
     by = dealt_by(plan(all_queries()["ngrams_upto"](spark, sf)))
     assert len([x for x in by if "begins#" in x]) == 1 and not any("chunk" in x for x in by)
+
+
+def test_ngrams_of_frequent_words_do_not_move_for_their_positions(spark, monkeypatch):
+    from corpusgrams.operators import counts as A
+    from corpusgrams.operators import relabel
+
+    some = [("a b a", 3), ("a b c", 1), ("b b a", 2), (None, 4), ("c x y", 1), ("a b a", 3)]
+    df = spark.createDataFrame(some, "ngram string, n long")
+    want = None
+    for slots in (1, 1 << 10):  # nearly all words in the joins, none there
+        monkeypatch.setattr(relabel, "SLOTS", slots)
+        got = sorted((tuple(r) for r in A.positional_counts(df, "ngram", 3).collect()), key=str)
+        assert len(got) == len(some) and (want is None or got == want)
+        want = got
+    assert ("a", "b", "b", "b b a", 2, 1, 4, 3) in want and ("y", "x", "c", "c x y", 1, 1, 1, 1) in want
+    text = A.positional_counts(df, "ngram", 3)._jdf.queryExecution().optimizedPlan().toString()
+    branches = text.split("\n:- ")[1].split("\n+- ")  # the n-grams held as a whole, and the others
+    assert text.startswith("Union") and "Join" not in branches[0] and branches[1].count("Join LeftOuter") == 3
